@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagloom.functions.text import strip
+from tagloom.functions.text import WHITESPACE, strip
 from tagloom.operators.ranking import head_n
 
 MARK = "# movie_id"
@@ -81,7 +81,7 @@ def write_conllu(records_: DataFrame, tokens: DataFrame, path: str) -> None:
     a blank line after each sentence. All lines of a record go to one sorted partition."""
     ten = F.concat_ws("\t", F.col("tok_no").cast("string"), F.col("form"), F.col("lemma"),
                       F.coalesce("upos", F.lit("_")), *[F.lit("_")] * 6)
-    one_line = F.regexp_replace(strip(F.col("text")), r"\s+", " ")
+    one_line = F.regexp_replace(strip(F.col("text")), f"[{WHITESPACE}]+", " ")
     last = F.lit(2**31 - 1)
     heads = records_.select("movie_id", F.inline(F.array(
         F.struct(F.lit(0).alias("s"), F.lit(0).alias("t"),

@@ -6,6 +6,7 @@ many files of moderate size; everything the library writes for itself is Parquet
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +15,7 @@ from pyspark.sql import types as T
 
 from tagloom import fixed
 from tagloom.operators.clean import unique_override
+from tagloom.session import bounded_list
 
 RECORD_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in fixed.RECORD_COLUMNS])
 OVERRIDE_SCHEMA = T.StructType([T.StructField("ids", T.StringType()), T.StructField("plots", T.StringType())])
@@ -27,6 +29,11 @@ def csv_reader(spark: SparkSession, multi_line: bool = True):
     )
 
 
+def list_files(spark: SparkSession, pattern: str, limit: int = 1 << 20) -> list[str]:
+    """Paths that match a glob pattern; only the listing is read, no content."""
+    return bounded_list(spark.read.format("binaryFile").load(pattern).select("path"), limit)
+
+
 def header_columns(spark: SparkSession, path: str) -> list[str]:
     """Column names of one file, all read as strings; only its first line is parsed."""
     return csv_reader(spark).option("inferSchema", False).csv(path).columns
@@ -50,8 +57,9 @@ def scan_union(spark: SparkSession, paths: list[str], schema: T.StructType | Non
     if not paths:
         raise ValueError("no files to read")
     layouts: dict[tuple[str, ...], list[str]] = {}
-    for path in sorted(paths):
-        layouts.setdefault(tuple(header_columns(spark, path)), []).append(path)
+    with ThreadPoolExecutor(max_workers=16) as pool:
+        for path, columns in zip(paths, pool.map(lambda p: header_columns(spark, p), paths)):
+            layouts.setdefault(tuple(columns), []).append(path)
     parts = []
     for columns, files in layouts.items():
         file_schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
