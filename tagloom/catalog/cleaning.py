@@ -85,11 +85,11 @@ def conversation_files(spark, sf):
         (F.col("turn") + 1).cast("int").alias("sent_no"), "role", "text")
     records = turns.groupBy("movie_id").agg(F.collect_set("role").alias("roles")).select(
         "movie_id", lb.encode_labels(F.col("roles"), ROLES).alias("genre"))
-    tokens = turns.select("movie_id", "sent_no", "text", F.posexplode(tx.words(F.col("text"))).alias("i", "form")) \
-        .select("movie_id", "sent_no", (F.col("i") + 1).alias("tok_no"), "text", "form",
+    tokens = turns.select("movie_id", "sent_no", F.posexplode(tx.words(F.col("text"))).alias("i", "form")) \
+        .select("movie_id", "sent_no", (F.col("i") + 1).alias("tok_no"), "form",
                 F.lower("form").alias("lemma"), F.lit("X").alias("upos"))
     path = scratch_path(spark, "conllu")
-    conllu.write_conllu(records, tokens, path)
+    conllu.write_conllu(records, turns.select("movie_id", "sent_no", "text"), tokens, path)
     return path
 
 

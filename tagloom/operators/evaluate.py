@@ -369,12 +369,12 @@ def compare_runs(a: DataFrame, b: DataFrame, keys: list[str], metrics: list[str]
 
 
 def random_guess(ids: DataFrame, vocabulary: list[str], seed: int, rate: float = 0.5) -> DataFrame:
-    """(id, y_pred): each label predicted with the given rate, from a hash of (id, label, seed).
+    """Add y_pred: each label predicted with the given rate, from a hash of (id, label, seed).
     Row-local: the label list travels as a literal."""
     def guessed(label: Column) -> Column:
         h = F.md5(F.concat_ws("|", F.col("id").cast("string"), label, F.lit(str(seed))))
         return F.conv(F.substring(h, 1, 8), 16, 10).cast("double") / F.lit(4294967296.0) < rate
-    return ids.select("id", F.filter(F.lit(list(vocabulary)), guessed).alias("y_pred"))
+    return ids.withColumn("y_pred", F.filter(F.lit(list(vocabulary)), guessed))
 
 
 def model_agreement(df: DataFrame, vocabulary: list[str], a: str = "pred_a", b: str = "pred_b") -> DataFrame:

@@ -160,12 +160,12 @@ def mean_embedding(df: DataFrame, vectors: DataFrame, size: int, identifier: str
         .groupBy("id", "word").agg(F.count(F.lit(1)).cast("double").alias("n"))
     vecs = vectors.select("word", array_to_vector(F.col("vec").cast("array<double>")).alias("v"))
     means = counted.join(vecs, "word").groupBy("id").agg(
-        Summarizer.mean(F.col("v"), F.col("n")).alias("m")
+        vector_to_array(Summarizer.mean(F.col("v"), F.col("n"))).alias("m")
     )
     zero = F.array_repeat(F.lit(0.0), size)
     every = df.select(F.col(identifier).alias("id"))
     return every.join(means, "id", "left").select(
-        "id", F.coalesce(vector_to_array("m"), zero).alias("embedding")
+        "id", F.coalesce("m", zero).alias("embedding")
     )
 
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -110,24 +111,35 @@ def fit_multilabel(rows: DataFrame, vocabulary: list[str], name: str = "lreg",
                    class_weight: str | None = None, n_features: int | None = None,
                    per_label: dict[str, DataFrame] | None = None, threads: int = 4,
                    bags: int = BAGS, **options) -> MultiLabelModel:
-    """``per_label`` replaces the (id, features, y) rows of some labels (balanced training sets)."""
+    """``per_label`` replaces the (id, features, y) rows of some labels (balanced training sets).
+    Fits run ``threads`` at a time over one cached table."""
     if name not in ESTIMATORS:
         raise ValueError(f"unknown estimator {name!r}; known: {', '.join(ESTIMATORS)}, knn, bayes")
-    if n_features is None:
-        n_features = rows.select("features").first()["features"].size
-    frames = label_frames(rows, vocabulary, class_weight)
-
-    def fit(label: str):
-        frame, total = frames[label]
-        if per_label and label in per_label:
-            frame, total = weighted(per_label[label], class_weight)
-        if name != "svm":
-            return label, [estimator(name, total, n_features, **options).fit(frame)]
-        return label, [estimator(name, total, n_features, **options).fit(resampled(frame, b, SEED))
-                       for b in range(bags)]
-
-    with ThreadPoolExecutor(max_workers=threads) as pool:
-        return MultiLabelModel(name, list(vocabulary), dict(pool.map(fit, vocabulary)))
+    owned = not rows.is_cached
+    if owned:
+        rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        if n_features is None:
+            n_features = rows.select("features").first()["features"].size
+        frames = label_frames(rows, vocabulary, class_weight)
+        for label, frame in (per_label or {}).items():
+            frames[label] = weighted(frame, class_weight)
+        jobs = [(label, bag) for label in vocabulary for bag in range(bags if name == "svm" else 1)]
+
+        def fit(job):
+            frame, total = frames[job[0]]
+            sample = resampled(frame, job[1], SEED) if name == "svm" else frame
+            return estimator(name, total, n_features, **options).fit(sample)
+
+        with ThreadPoolExecutor(max_workers=threads) as pool:
+            fitted = list(pool.map(fit, jobs))
+    finally:
+        if owned:
+            rows.unpersist()
+    models: dict[str, list] = {}
+    for (label, _), model in zip(jobs, fitted):
+        models.setdefault(label, []).append(model)
+    return MultiLabelModel(name, list(vocabulary), models)
 
 
 def weighted(frame: DataFrame, class_weight: str | None) -> tuple[DataFrame, float]:

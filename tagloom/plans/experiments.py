@@ -3,9 +3,11 @@ metrics. Input records: (id long, description, labels array<string>)."""
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
 from functools import reduce
 
+from pyspark.ml.feature import MaxAbsScaler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -47,54 +49,58 @@ STANDARD_RUNS = [
 ]
 
 
-def fit_features(train: DataFrame, test: DataFrame, cfg: Config) -> tuple[DataFrame, DataFrame, DataFrame, int]:
+def fit_features(train: DataFrame, test: DataFrame, cfg: Config,
+                 scale: bool = True) -> tuple[DataFrame, DataFrame, DataFrame, int]:
     """(train rows, test rows, vocabulary index, size): vocabulary, idf and scale come from train."""
     if cfg.vectorizer not in features.VECTORIZERS:
         raise ValueError(f"unknown vectorizer {cfg.vectorizer!r}; known: {features.VECTORIZERS}")
-    tf_train = features.count_vectorize(train, cfg.ngram, cfg.stop_words)
+    # Counted once: vocabulary, document frequencies and rows all read the written counts.
+    tf_train = written(features.count_vectorize(train, cfg.ngram, cfg.stop_words), "counts")
     tf_test = features.count_vectorize(test, cfg.ngram, cfg.stop_words)
     index = written(features.vocabulary(tf_train), "index")
     size = index.count()
     if cfg.vectorizer == "count":
-        weighted = [t.select("id", "term", F.col("tf").cast("double").alias("weight")) for t in (tf_train, tf_test)]
+        weights = [t.select("id", "term", F.col("tf").cast("double").alias("weight")) for t in (tf_train, tf_test)]
     else:
         idf = features.inverse_frequency(tf_train, train)
-        weighted = [features.weigh(t, idf, cfg.sublinear) for t in (tf_train, tf_test)]
-    scale = features.max_abs_fit(weighted[0])
-    ids = [d.select("id") for d in (train, test)]
-    rows = [features.sparse_rows(features.max_abs_apply(w, scale), index, size, i)
-            for w, i in zip(weighted, ids)]
-    return rows[0], rows[1], index, size
+        weights = [features.weigh(t, idf, cfg.sublinear) for t in (tf_train, tf_test)]
+    rows = [features.sparse_rows(w, index, size, d.select("id")) for w, d in zip(weights, (train, test))]
+    if not scale:
+        return rows[0], rows[1], index, size
+    # Max-abs scaling of finished rows is row-local; its state is one number per term.
+    scaler = MaxAbsScaler(inputCol="features", outputCol="scaled").fit(rows[0])
+    scaled = [scaler.transform(r).select("id", F.col("scaled").alias("features")) for r in rows]
+    return scaled[0], scaled[1], index, size
 
 
 def balanced_sets(rows: DataFrame, vocabulary: list[str], ratio: float, size: int) -> dict[str, DataFrame]:
     """label -> (id, features, y) with synthetic positives, for labels that need them."""
     spark = rows.sparkSession
     plan = balance.smote_plan(rows, vocabulary, ratio).collect()  # one line per label
-    sets = {}
     path = scratch_path(spark, "smote")
     bare = rows.select("id", "labels", features.vector_parts("features").alias("features"))
-    for i, line in enumerate(plan):
-        if line["skip"] or line["pos"] < 2:
-            continue
+
+    def balanced(job):
+        i, line = job
         one = bare.select("id", "features", F.array_contains("labels", line["label"]).cast("int").alias("y"))
         made = balance.smote(one, line["synthesize"])
-        sets[line["label"]] = features.vector_table(made, size, f"{path}/{i}", extra=["y"])
-    return sets
+        return line["label"], features.vector_table(made, size, f"{path}/{i}", extra=["y"])
+
+    jobs = [(i, line) for i, line in enumerate(plan) if not line["skip"] and line["pos"] >= 2]
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        return dict(pool.map(balanced, jobs))
 
 
 def run_one(train: DataFrame, test: DataFrame, vocabulary: list[str], cfg: Config,
-            prepared: tuple | None = None) -> DataFrame:
+            prepared: tuple | None = None, max_iter: int = 1000) -> DataFrame:
     """(id, y_true, y_pred) of the test records."""
     if cfg.prune:
         train = clean.prune_texts(train)
     train_x, test_x, _, size = prepared or fit_features(train, test, cfg)
-    rows = train_x.join(train.select("id", "labels"), "id").cache()
-    try:
-        per_label = balanced_sets(rows, vocabulary, cfg.balancing_ratio, size) if cfg.balancing_ratio else None
-        model = models.fit_multilabel(rows, vocabulary, cfg.estimator, cfg.class_weight, size, per_label)
-    finally:
-        rows.unpersist()
+    rows = train_x.join(train.select("id", "labels"), "id")
+    per_label = balanced_sets(rows, vocabulary, cfg.balancing_ratio, size) if cfg.balancing_ratio else None
+    model = models.fit_multilabel(rows, vocabulary, cfg.estimator, cfg.class_weight, size, per_label,
+                                  max_iter=max_iter)
     scored = model.predict_proba(test_x)
     rule = decide.predict_at_least_one if cfg.at_least_one else decide.predict_threshold
     hot = rule(scored)
@@ -106,7 +112,7 @@ METRICS = ["jaccard", "hamming", "precision", "recall", "at_least_one", "at_leas
 
 
 def run_matrix(records: DataFrame, vocabulary: list[str], configs: list[Config] | None = None,
-               test: float = 0.1) -> DataFrame:
+               test: float = 0.1, max_iter: int = 1000) -> DataFrame:
     """(run, metric, value) for every configuration, on one split."""
     parts = split.stratified_split(records.select("id", "description", "labels"), test)
     parts = written(parts, "split")
@@ -118,27 +124,24 @@ def run_matrix(records: DataFrame, vocabulary: list[str], configs: list[Config]
         if key not in prepared:
             base = clean.prune_texts(train) if cfg.prune else train
             prepared[key] = fit_features(base, held, cfg)
-        scored = run_one(train, held, vocabulary, cfg, prepared[key])
+        scored = run_one(train, held, vocabulary, cfg, prepared[key], max_iter)
         one = evaluate.compute_metrics(scored, vocabulary, METRICS)
         tables.append(one.select(F.lit(cfg.run).alias("run"), "metric", "value"))
     return reduce(DataFrame.unionByName, tables)
 
 
 def run_binary(records: DataFrame, label: str, vocabulary: list[str], keywords: list[str] | None = None,
-               cfg: Config = Config("binary", vectorizer="count"), test: float = 0.1) -> DataFrame:
+               cfg: Config = Config("binary", vectorizer="count"), test: float = 0.1,
+               max_iter: int = 1000) -> DataFrame:
     """One label: scores of the plain model, or with keywords of the boosted rule. No max-abs
     scaling, as opposed to the multi-label run."""
     parts = written(split.stratified_split(records.select("id", "description", "labels"), test), "split")
     train, held = parts.filter("split = 'train'"), parts.filter("split = 'test'")
-    tf_train, tf_test = features.count_vectorize(train), features.count_vectorize(held)
-    index = written(features.vocabulary(tf_train), "index")
-    size = index.count()
-    as_weight = F.col("tf").cast("double").alias("weight")
-    train_x = features.sparse_rows(tf_train.select("id", "term", as_weight), index, size, train.select("id"))
-    test_x = features.sparse_rows(tf_test.select("id", "term", as_weight), index, size, held.select("id"))
+    train_x, test_x, _, size = fit_features(train, held, cfg, scale=False)
     rows = train_x.join(train.select("id", "labels"), "id")
     per_label = balanced_sets(rows, [label], cfg.balancing_ratio, size) if cfg.balancing_ratio else None
-    model = models.fit_multilabel(rows, [label], cfg.estimator, cfg.class_weight, size, per_label)
+    model = models.fit_multilabel(rows, [label], cfg.estimator, cfg.class_weight, size, per_label,
+                                  max_iter=max_iter)
     scored = model.predict_proba(test_x).withColumn("proba", F.get("proba", 0))
     scored = scored.join(held.select("id", "description", F.array_contains("labels", label).cast("int").alias("y")), "id")
     if keywords is None:

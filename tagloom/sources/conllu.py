@@ -73,9 +73,9 @@ def scan_tokens(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def write_conllu(records_: DataFrame, tokens: DataFrame, path: str) -> None:
-    """records_: (movie_id, genre array<int>); tokens: (movie_id, sent_no, tok_no, text, form,
-    lemma, upos), text being the sentence, the same on each of its rows.
+def write_conllu(records_: DataFrame, sentences: DataFrame, tokens: DataFrame, path: str) -> None:
+    """records_: (movie_id, genre array<int>); sentences: (movie_id, sent_no, text); tokens:
+    (movie_id, sent_no, tok_no, form, lemma, upos). Sentences with a blank text are left out.
 
     Rows become lines: two header lines per record, a text line per sentence, token lines, and
     a blank line after each sentence. All lines of a record go to one sorted partition."""
@@ -90,8 +90,7 @@ def write_conllu(records_: DataFrame, tokens: DataFrame, path: str) -> None:
                  F.concat(F.lit("# genre = ["), F.array_join(F.col("genre").cast("array<string>"), " "),
                           F.lit("]")).alias("value")),
     )))
-    sentences = tokens.groupBy("movie_id", "sent_no").agg(F.min(one_line).alias("text"))
-    texts = sentences.select("movie_id", F.inline(F.array(
+    texts = sentences.select("movie_id", "sent_no", one_line.alias("text")).filter("text <> ''").select("movie_id", F.inline(F.array(
         F.struct(F.col("sent_no").alias("s"), F.lit(0).alias("t"),
                  F.concat(F.lit("# text = "), F.col("text")).alias("value")),
         F.struct(F.col("sent_no").alias("s"), last.alias("t"), F.lit("").alias("value")),
