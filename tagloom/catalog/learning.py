@@ -6,12 +6,12 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from tagloom import fixed
-from tagloom.catalog.tables import (DIGITS, cte, doc_scored, docs, lang_docs, lang_weights, query, rnd, sql_list,
+from tagloom.catalog.tables import (DIGITS, cte, doc_scored, docs, lang_counts, lang_docs, lang_weights, query, rnd, sql_list,
                                     sql_tokens, sql_words, table, order_labels)
 from tagloom.functions import text as tx
-from tagloom.operators import balance, clean, features, models, neighbours, similarity, split
+from tagloom.operators import balance, clean, explore, features, models, neighbours, similarity, split
 from tagloom.plans import experiments
-from tagloom.session import scratch_path
+from tagloom.session import scratch_path, written
 from tagloom.sources import vectors as vector_files
 
 
@@ -158,8 +158,8 @@ join (select label, count(*) as n from doc_labels group by label) using (label)
 
 
 def superdoc(spark, sf):
-    d = docs(spark, sf)
-    return similarity.label_superdoc_tfidf(features.count_vectorize(d), d)
+    counts = explore.words_by_combination(docs(spark, sf), tx.tokens(F.col("description")))
+    return similarity.label_superdoc_tfidf(written(counts, "counts"))
 
 
 def average(spark, sf):
@@ -443,8 +443,7 @@ def model_weights(spark, sf):
 
 @query("bayes_weights", f"select label, term, {r('log_pos', 8)} as log_pos, {r('log_neg', 8)} as log_neg from bayes", ("bayes",))
 def bayes_weights(spark, sf):
-    d = lang_docs(spark, sf)
-    m = models.bayes_fit(features.count_vectorize(d), d, clean.load_vocabulary(d))
+    m = models.bayes_fit(lang_counts(spark, sf), clean.load_vocabulary(lang_docs(spark, sf)))
     return m.select("label", "term", rnd("log_pos", 8).alias("log_pos"), rnd("log_neg", 8).alias("log_neg"))
 
 
@@ -455,7 +454,7 @@ left join (select id, label, sum(tf * (log_pos - log_neg)) as s from tf join bay
 def bayes(spark, sf):
     d = lang_docs(spark, sf)
     tf, names = features.count_vectorize(d), clean.load_vocabulary(d)
-    p = models.bayes_proba(tf, d, models.bayes_fit(tf, d, names), models.bayes_priors(d, names))
+    p = models.bayes_proba(tf, d, models.bayes_fit(lang_counts(spark, sf), names), models.bayes_priors(d, names))
     return p.select("id", "label", (F.col("p") >= 0.5).cast("int").alias("hit"))
 
 

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tagloom.functions import text as tx
-from tagloom.operators import clean, evaluate, features, models
+from tagloom.operators import clean, evaluate, explore, models
+from tagloom.session import spread, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -97,7 +98,7 @@ RAW = [
 
 
 def raw_records(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "documents").selectExpr(*RAW, "doc_id")
+    return spread(table(spark, sf, "documents")).selectExpr(*RAW, "doc_id")
 
 
 cte("raw", """select concat('tt', cast(doc_id // 2 as varchar)) as movie_id,
@@ -138,7 +139,7 @@ from override_rows where plots is not null group by ids""", "override_rows")
 
 def docs(spark: SparkSession, sf: str) -> DataFrame:
     """(id, description, labels = [language, source], lang, source)."""
-    return table(spark, sf, "documents").select(
+    return spread(table(spark, sf, "documents")).select(
         F.col("doc_id").alias("id"), F.col("text").alias("description"),
         F.array("lang", "source").alias("labels"), "lang", "source")
 
@@ -239,8 +240,9 @@ def order_scored(spark: SparkSession, sf: str) -> DataFrame:
 def order_scores(spark: SparkSession, sf: str) -> DataFrame:
     """Long (id, label, p): share of the order's quantity."""
     sums = items(spark, sf).groupBy("id", "label").agg(F.sum("q").alias("s"))
-    total = items(spark, sf).groupBy("id").agg(F.sum("q").alias("total"))
-    return sums.join(total, "id").select("id", "label", (F.col("s") / F.col("total")).alias("p"))
+    # A window over one order holds at most one row per label.
+    total = F.sum("s").over(Window.partitionBy("id"))
+    return sums.select("id", "label", (F.col("s") / total).alias("p"))
 
 
 def order_proba(spark: SparkSession, sf: str) -> DataFrame:
@@ -281,10 +283,14 @@ def decided(df: DataFrame, vocabulary: list[str], hot: str = "pred") -> DataFram
 
 # --- term weights per label ---------------------------------------------------------------------
 
+def lang_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """(labels, term, tf) per language, written: the model reads it several times."""
+    return written(explore.words_by_combination(lang_docs(spark, sf), tx.tokens(F.col("description"))), "counts")
+
+
 def lang_weights(spark: SparkSession, sf: str) -> DataFrame:
     """(label, term, weight): log-odds of a term within and outside a language."""
-    d = lang_docs(spark, sf)
-    model = models.bayes_fit(features.count_vectorize(d), d, clean.load_vocabulary(d))
+    model = models.bayes_fit(lang_counts(spark, sf), clean.load_vocabulary(lang_docs(spark, sf)))
     return model.select("label", "term", (F.col("log_pos") - F.col("log_neg")).alias("weight"))
 
 

@@ -13,6 +13,10 @@ from pyspark.sql import functions as F
 
 # The characters for which Python's str.isspace() holds.
 WHITESPACE = r"\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+SPACES = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+    "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 # Word characters: letters, numbers, underscore.
 WORD = r"\p{L}\p{N}_"
 TOKEN_PATTERN = f"[{WORD}]{{2,}}"
@@ -36,12 +40,18 @@ def remove(text: Column, pattern: str) -> Column:
 
 
 def strip(text: Column) -> Column:
-    return F.regexp_replace(text, f"^[{WHITESPACE}]+|[{WHITESPACE}]+$", "")
+    return F.btrim(text, F.lit(SPACES))
+
+
+def plain_spaces(text: Column) -> Column:
+    """Every whitespace character as a blank."""
+    return F.translate(text, SPACES, " " * len(SPACES))
 
 
 def words(text: Column) -> Column:
-    """Whitespace split without empty parts."""
-    return F.regexp_extract_all(text, F.lit(f"[^{WHITESPACE}]+"), F.lit(0))
+    """Whitespace split without empty parts. A character map and a split at one blank cost less
+    than half of a regular expression over the whole whitespace class."""
+    return F.array_remove(F.split(plain_spaces(text), " "), "")
 
 
 def word_count(text: Column) -> Column:
@@ -65,8 +75,8 @@ def tokens(text: Column, stop_words: list[str] | str | None = None) -> Column:
 
 def plain_words(text: Column, stop_words: list[str] | str | None = None) -> Column:
     """Keep ASCII letters, digits and whitespace, lower-case, split on whitespace."""
-    kept = F.regexp_replace(text, f"[^a-zA-Z0-9{WHITESPACE}]", "")
-    return without(words(F.lower(kept)), stop_words)
+    kept = F.lower(F.regexp_replace(plain_spaces(text), "[^a-zA-Z0-9 ]", ""))
+    return without(F.array_remove(F.split(kept, " "), ""), stop_words)
 
 
 def stop_list(stop_words: list[str] | str | None) -> list[str]:

@@ -161,27 +161,34 @@ def compute_metrics(scored: DataFrame, vocabulary: list[str],
 
 # --- per label ----------------------------------------------------------------------------
 
-def hits_per_label(scored: DataFrame) -> DataFrame:
-    """(label, tp, fp, fn) of the labels that occur. Records are first counted by their pair
-    of label sets, so each distinct pair is unfolded once."""
-    pairs = scored.groupBy("y_true", "y_pred").agg(F.count(F.lit(1)).alias("n"))
+def label_set_pairs(scored: DataFrame) -> DataFrame:
+    """(y_true, y_pred, n): records counted by their pair of label sets. Every report below
+    starts from this one aggregation, so Spark runs it once and reuses its shuffle."""
+    return scored.groupBy("y_true", "y_pred").agg(F.count(F.lit(1)).alias("n"))
+
+
+def confusion_per_label(scored: DataFrame, vocabulary: list[str]) -> DataFrame:
+    """(label, tn, fp, fn, tp) for the whole vocabulary."""
+    return confusion(label_set_pairs(scored), vocabulary)
+
+
+def confusion(pairs: DataFrame, vocabulary: list[str]) -> DataFrame:
+    """The same from label_set_pairs; each distinct pair is unfolded once."""
     cells = pairs.select(
         "y_true", "y_pred", "n", F.explode(F.array_union("y_true", "y_pred")).alias("label")
     )
     t, p = F.array_contains("y_true", F.col("label")), F.array_contains("y_pred", F.col("label"))
-    total = lambda cond: F.sum(F.when(cond, F.col("n")).otherwise(0))
-    return cells.groupBy("label").agg(
-        total(t & p).alias("tp"), total(~t & p).alias("fp"), total(t & ~p).alias("fn")
-    )
 
+    def total(cond: Column) -> Column:
+        return F.sum(F.when(cond, F.col("n")).otherwise(0))
 
-def confusion_per_label(scored: DataFrame, vocabulary: list[str]) -> DataFrame:
-    """(label, tn, fp, fn, tp) for the whole vocabulary."""
-    spark = scored.sparkSession
-    names = spark.createDataFrame([(v,) for v in vocabulary], "label string")
-    n = scored.agg(F.count(F.lit(1)).alias("n")).scalar()
-    full = names.join(hits_per_label(scored), "label", "left").fillna(0, ["tp", "fp", "fn"])
-    tn = n - F.col("tp") - F.col("fp") - F.col("fn")
+    found = cells.groupBy("label").agg(
+        total(t & p).alias("tp"), total(~t & p).alias("fp"), total(t & ~p).alias("fn")
+    )
+    names = pairs.sparkSession.createDataFrame([(v,) for v in vocabulary], "label string")
+    n = pairs.agg(F.sum("n").alias("n")).scalar()
+    full = names.join(found, "label", "left").fillna(0, ["tp", "fp", "fn"])
+    tn = F.coalesce(n, F.lit(0)) - F.col("tp") - F.col("fp") - F.col("fn")
     return full.select("label", tn.alias("tn"), "fp", "fn", "tp")
 
 
@@ -193,7 +200,8 @@ def classification_report(scored: DataFrame, vocabulary: list[str]) -> DataFrame
     """(name, precision, recall, f1, support): a row per label, then micro, macro, weighted
     and samples averages (named ``micro avg`` and so on)."""
     s = label_scores()
-    per_label = confusion_per_label(scored, vocabulary).select(
+    pairs = label_set_pairs(scored)
+    per_label = confusion(pairs, vocabulary).select(
         F.col("label").alias("name"), s["precision"].alias("precision"),
         s["recall"].alias("recall"), s["f1"].alias("f1"),
         (F.col("tp") + F.col("fn")).alias("support"), "tp", "fp", "fn",
@@ -215,9 +223,11 @@ def classification_report(scored: DataFrame, vocabulary: list[str]) -> DataFrame
         ).alias("a")
     ).select(F.inline("a"))
     r = record_scores(len(vocabulary))
-    samples = counts(scored).agg(
-        F.avg(r["precision"]).alias("precision"), F.avg(r["recall"]).alias("recall"),
-        F.avg(r["f1"]).alias("f1"), F.sum("n_true").alias("support"),
+    def mean(c: Column) -> Column:
+        return F.sum(c * F.col("n")) / F.sum("n")
+    samples = counts(pairs).agg(
+        mean(r["precision"]).alias("precision"), mean(r["recall"]).alias("recall"),
+        mean(r["f1"]).alias("f1"), F.sum(F.col("n_true") * F.col("n")).alias("support"),
     ).select(F.lit("samples avg").alias("name"), "precision", "recall", "f1", "support")
     return (
         per_label.drop("tp", "fp", "fn").unionByName(averages).unionByName(samples)
@@ -228,8 +238,9 @@ def metrics_per_label(scored: DataFrame, vocabulary: list[str],
                       names: tuple[str, ...] = ("balanced_accuracy", "precision", "recall")) -> DataFrame:
     """(label, metrics..., share) by balanced accuracy, best first; ties by label."""
     s = label_scores()
-    table = confusion_per_label(scored, vocabulary)
-    total = scored.agg(F.sum(F.size("y_true")).alias("t")).scalar()
+    pairs = label_set_pairs(scored)
+    table = confusion(pairs, vocabulary)
+    total = pairs.agg(F.sum(F.size("y_true") * F.col("n")).alias("t")).scalar()
     order = "balanced_accuracy" if "balanced_accuracy" in names else names[0]
     return table.select(
         "label", *[pick(s, m).alias(m) for m in names],
@@ -246,9 +257,8 @@ def prediction_histogram(scored: DataFrame, vocabulary: list[str]) -> DataFrame:
 
 def score_by_label_support(scored: DataFrame, n_labels: int, metric: str = "jaccard") -> DataFrame:
     """(label, support, score): mean record score over the records that have the label."""
-    by_record = score_per_record(scored, n_labels, metric)
     return (
-        by_record.groupBy("y_true", "score").agg(F.count(F.lit(1)).alias("n"))
+        score_per_record(label_set_pairs(scored), n_labels, metric)
         .select(F.explode("y_true").alias("label"), "score", "n")
         .groupBy("label")
         .agg(F.sum("n").alias("support"), (F.sum(F.col("score") * F.col("n")) / F.sum("n")).alias("score"))

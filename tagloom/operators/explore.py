@@ -141,16 +141,21 @@ def corpus_top_words(df: DataFrame, tokens: str, n: int = 20,
     return kept.groupBy("word").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "word").limit(n)
 
 
-def words_by_label(df: DataFrame, words: Column, labels: str = "labels") -> DataFrame:
-    """(label, word, n): a text counts once for each of its labels. Words are counted per
-    distinct label combination before the labels are unfolded."""
-    per_combination = (
-        spread(df).select(labels, F.explode(words).alias("word"))
-        .groupBy(labels, "word").agg(F.count(F.lit(1)).alias("n"))
+def words_by_combination(df: DataFrame, words: Column, labels: str = "labels") -> DataFrame:
+    """(labels, term, tf): words counted per distinct label combination. The map tasks shrink
+    the texts to these counts; neither ids nor texts are shuffled."""
+    return (
+        spread(df).select(F.col(labels).alias("labels"), F.explode(words).alias("term"))
+        .groupBy("labels", "term").agg(F.count(F.lit(1)).alias("tf"))
     )
+
+
+def words_by_label(df: DataFrame, words: Column, labels: str = "labels") -> DataFrame:
+    """(label, word, n): a text counts once for each of its labels."""
+    counts = words_by_combination(df, words, labels)
     return (
-        per_combination.select(F.explode(labels).alias("label"), "word", "n")
-        .groupBy("label", "word").agg(F.sum("n").alias("n"))
+        counts.select(F.explode("labels").alias("label"), F.col("term").alias("word"), "tf")
+        .groupBy("label", "word").agg(F.sum("tf").alias("n"))
     )
 
 

@@ -172,17 +172,16 @@ def model_weights(model: MultiLabelModel, index: DataFrame) -> DataFrame:
 
 # --- multinomial naive Bayes ----------------------------------------------------------------
 
-def bayes_fit(tf: DataFrame, labels: DataFrame, vocabulary: list[str]) -> DataFrame:
+def bayes_fit(counts: DataFrame, vocabulary: list[str]) -> DataFrame:
     """(label, term, log_pos, log_neg): smoothed log-probabilities of every term within and
-    outside each label. One pass of counts per (label, term); the rest follows from totals."""
-    from tagloom.operators.similarity import label_sums
-
-    pos = label_sums(tf, labels, F.col("tf"), "pos")
-    total = tf.groupBy("term").agg(F.sum("tf").alias("all"))
+    outside each label, from explore.words_by_combination."""
+    pos = counts.select(F.explode("labels").alias("label"), "term", "tf") \
+        .groupBy("label", "term").agg(F.sum("tf").alias("pos"))
+    total = counts.groupBy("term").agg(F.sum("tf").alias("all"))
     n_terms = total.agg(F.count(F.lit(1)).cast("double").alias("v")).scalar()
     grand = total.agg(F.sum("all").cast("double").alias("a")).scalar()
     sums = pos.groupBy("label").agg(F.sum("pos").cast("double").alias("pos_sum"))
-    names = tf.sparkSession.createDataFrame([(v,) for v in vocabulary], "label string")
+    names = counts.sparkSession.createDataFrame([(v,) for v in vocabulary], "label string")
     per_label = names.join(sums, "label", "left").fillna(0.0, ["pos_sum"])
     # Every term meets every label: the label list is unfolded per term, from a literal.
     grid = total.select("term", "all", F.explode(F.lit(list(vocabulary))).alias("label"))

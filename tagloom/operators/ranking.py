@@ -37,16 +37,22 @@ def exact_rank(df: DataFrame, group: list[str], levels: list[str], order: list[s
     """
     keys = [*group, *levels]
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    offset = F.lit(0).cast("long")
-    for i, level in enumerate(levels):
-        upper = [*group, *levels[:i]]
-        # Sizes at this level, summed over the finer ones, then accumulated inside `upper`.
-        part = sizes.groupBy(*upper, level).agg(F.sum("_n").alias("_s"))
+
+    def before(table: DataFrame, upper: list[str], level: str, n: str) -> DataFrame:
         w = Window.partitionBy(*upper).orderBy(level).rowsBetween(Window.unboundedPreceding, -1)
-        part = part.select(*upper, level, F.coalesce(F.sum("_s").over(w), F.lit(0)).alias(f"_o{i}"))
-        sizes = sizes.join(part, [*upper, level])
-        offset = offset + F.col(f"_o{i}")
-    starts = sizes.select(*keys, offset.alias("_start"))
+        return table.withColumn("_o", F.coalesce(F.sum(n).over(w), F.lit(0)))
+
+    if len(levels) == 1:
+        starts = before(sizes, group, levels[0], "_n").select(*keys, F.col("_o").alias("_start"))
+    else:
+        # One sum per level: the rows before the bucket's outer level, plus those inside it.
+        sizes = written(sizes, "sizes")
+        starts = sizes.select(*keys, F.lit(0).cast("long").alias("_start"))
+        for i, level in enumerate(levels):
+            upper = [*group, *levels[:i]]
+            part = sizes.groupBy(*upper, level).agg(F.sum("_n").alias("_s"))
+            part = before(part, upper, level, "_s").select(*upper, level, "_o")
+            starts = starts.join(part, [*upper, level]).withColumn("_start", F.col("_start") + F.col("_o")).drop("_o")
     w = Window.partitionBy(*keys).orderBy(*order)
     return (
         df.join(starts, keys)
@@ -91,11 +97,12 @@ def sample_every(df: DataFrame, step: int, order: list[str]) -> DataFrame:
 def equal_count_bins(df: DataFrame, value: str, identifier: str, bins: int = 20,
                      bin_col: str = "bin") -> DataFrame:
     """1-based bin of each row after sorting by ``value``: near-equal counts, the first
-    (n mod bins) bins hold one row more. Equal values are ordered by md5 of the id."""
+    (n mod bins) bins hold one row more. Equal values are ordered by md5 of the id. The rows are
+    written first, since counting, ranking and the total all read them; pass narrow rows."""
     keyed = df.withColumn("_h", F.md5(F.col(identifier).cast("string")))
-    keyed = keyed.withColumn("_hp", F.substring("_h", 1, 2))
+    keyed = written(keyed.withColumn("_hp", F.substring("_h", 1, 2)), "binned")
     ranked = exact_rank(keyed, [], [value, "_hp"], ["_h"], "_rank")
-    total = df.agg(F.count(F.lit(1)).alias("n")).scalar()
+    total = keyed.agg(F.count(F.lit(1)).alias("n")).scalar()
     small = F.floor(total / bins)
     extra = F.pmod(total, F.lit(bins))
     at = F.col("_rank") - 1

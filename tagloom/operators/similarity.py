@@ -10,10 +10,11 @@ from tagloom.operators.features import idf
 from tagloom.operators.ranking import top_per_group
 
 
-def label_superdoc_tfidf(tf: DataFrame, labels: DataFrame, sublinear: bool = True) -> DataFrame:
-    """(label, term, weight): TF-IDF where all texts of a label form one document. Counts are
-    added up by (label, term); the long text is never built. ``labels`` is (id, labels)."""
-    sums = label_sums(tf, labels, F.col("tf"), "tf")
+def label_superdoc_tfidf(counts: DataFrame, sublinear: bool = True) -> DataFrame:
+    """(label, term, weight): TF-IDF where all texts of a label form one document. ``counts`` is
+    explore.words_by_combination; counts are added up, the long text is never built."""
+    sums = counts.select(F.explode("labels").alias("label"), "term", "tf") \
+        .groupBy("label", "term").agg(F.sum("tf").alias("tf"))
     n = sums.agg(F.count_distinct("label").cast("double").alias("n")).scalar()
     df = sums.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     raw = (F.lit(1.0) + F.log(F.col("tf"))) if sublinear else F.col("tf").cast("double")
