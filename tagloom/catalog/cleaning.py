@@ -11,7 +11,7 @@ from tagloom.functions import labels as lb
 from tagloom.functions import text as tx
 from tagloom.operators import clean, ranking
 from tagloom.plans import cleaning as plan
-from tagloom.session import scratch_path
+from tagloom.session import names_table, scratch_path
 from tagloom.sources import conllu, csvfiles, jsonfiles
 
 RECORD = "movie_id, movie_name, description, genre"
@@ -147,7 +147,7 @@ def write_json(spark, sf):
     records = plan.repaired_records(raw_records(spark, sf), override(spark, sf))
     jsonfiles.write_vocabulary(clean.label_vocabulary(records), path)
     names = jsonfiles.read_vocabulary(spark, path)
-    return spark.createDataFrame([(n,) for n in names], "label string")
+    return names_table(spark, names)
 
 
 @query("head_n", f"select {RECORD} from raw order by doc_id limit 100", ("raw",))

@@ -6,7 +6,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from tagloom import fixed
-from tagloom.catalog.tables import (DIGITS, cte, doc_scored, docs, lang_counts, lang_docs, lang_weights, query, rnd, sql_list,
+from tagloom.catalog.tables import (DIGITS, cte, doc_scored, docs, lang_docs, lang_model, lang_weights, query, rnd, sql_list,
                                     sql_tokens, sql_words, table, order_labels)
 from tagloom.functions import text as tx
 from tagloom.operators import balance, clean, explore, features, models, neighbours, similarity, split
@@ -89,7 +89,7 @@ def tfidf_sublinear(spark, sf):
 
 @query("max_abs_scale", f"select id, term, {r('weight / max(weight) over (partition by term)')} as weight from tfidf", ("tfidf",))
 def max_abs_scale(spark, sf):
-    w = features.tfidf(docs(spark, sf))
+    w = written(features.tfidf(docs(spark, sf)), "weights")
     return weights(features.max_abs_apply(w, features.max_abs_fit(w)))
 
 
@@ -443,7 +443,7 @@ def model_weights(spark, sf):
 
 @query("bayes_weights", f"select label, term, {r('log_pos', 8)} as log_pos, {r('log_neg', 8)} as log_neg from bayes", ("bayes",))
 def bayes_weights(spark, sf):
-    m = models.bayes_fit(lang_counts(spark, sf), clean.load_vocabulary(lang_docs(spark, sf)))
+    m = models.bayes_weights(*lang_model(spark, sf))
     return m.select("label", "term", rnd("log_pos", 8).alias("log_pos"), rnd("log_neg", 8).alias("log_neg"))
 
 
@@ -453,8 +453,9 @@ left join (select id, label, sum(tf * (log_pos - log_neg)) as s from tf join bay
   on s.id = d.id and s.label = v.label""", ("docs", "lang_labels", "tf", "bayes"))
 def bayes(spark, sf):
     d = lang_docs(spark, sf)
-    tf, names = features.count_vectorize(d), clean.load_vocabulary(d)
-    p = models.bayes_proba(tf, d, models.bayes_fit(lang_counts(spark, sf), names), models.bayes_priors(d, names))
+    model, names = lang_model(spark, sf)
+    tf = written(features.count_vectorize(d), "counts")
+    p = models.bayes_proba(tf, d, model, models.bayes_priors(d, names), names)
     return p.select("id", "label", (F.col("p") >= 0.5).cast("int").alias("hit"))
 
 

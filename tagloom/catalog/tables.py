@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tagloom.functions import text as tx
 from tagloom.operators import clean, evaluate, explore, models
-from tagloom.session import spread, written
+from tagloom.session import spread
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -283,15 +283,18 @@ def decided(df: DataFrame, vocabulary: list[str], hot: str = "pred") -> DataFram
 
 # --- term weights per label ---------------------------------------------------------------------
 
-def lang_counts(spark: SparkSession, sf: str) -> DataFrame:
-    """(labels, term, tf) per language, written: the model reads it several times."""
-    return written(explore.words_by_combination(lang_docs(spark, sf), tx.tokens(F.col("description"))), "counts")
+def lang_model(spark: SparkSession, sf: str) -> tuple[DataFrame, list[str]]:
+    """Naive Bayes of the language, and the label names."""
+    d = lang_docs(spark, sf)
+    names = clean.load_vocabulary(d)
+    counts = explore.words_by_combination(d, tx.tokens(F.col("description")))
+    return models.bayes_fit(counts, names), names
 
 
 def lang_weights(spark: SparkSession, sf: str) -> DataFrame:
     """(label, term, weight): log-odds of a term within and outside a language."""
-    model = models.bayes_fit(lang_counts(spark, sf), clean.load_vocabulary(lang_docs(spark, sf)))
-    return model.select("label", "term", (F.col("log_pos") - F.col("log_neg")).alias("weight"))
+    long = models.bayes_weights(*lang_model(spark, sf))
+    return long.select("label", "term", (F.col("log_pos") - F.col("log_neg")).alias("weight"))
 
 
 cte("bayes", """select v.label, t.term,

@@ -9,6 +9,7 @@ from tagloom.fixed import SMOTE_SEED
 from tagloom.functions.labels import literal_names
 from tagloom.operators.neighbours import is_sparse, nearest
 from tagloom.operators.ranking import exact_rank
+from tagloom.session import names_table
 
 
 def positives(df: DataFrame, vocabulary: list[str], labels: str = "labels") -> DataFrame:
@@ -16,7 +17,7 @@ def positives(df: DataFrame, vocabulary: list[str], labels: str = "labels") -> D
     combos = df.groupBy(labels).agg(F.count(F.lit(1)).alias("c"))
     found = combos.select(F.explode(labels).alias("label"), "c").groupBy("label").agg(F.sum("c").alias("pos"))
     n = combos.agg(F.sum("c").alias("n")).scalar()
-    names = df.sparkSession.createDataFrame([(v,) for v in vocabulary], "label string")
+    names = names_table(df.sparkSession, vocabulary)
     return names.join(found, "label", "left").fillna(0, ["pos"]).withColumn("n", n) \
         .select("label", "pos", (F.col("n") - F.col("pos")).alias("neg"), "n")
 

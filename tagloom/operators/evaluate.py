@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from tagloom.functions import text as tx
 from tagloom.functions.labels import decode_labels, safe_ratio, signed_overlap
 from tagloom.operators.ranking import equal_count_bins
+from tagloom.session import names_table
 
 
 def align_truth_pred(ids: DataFrame, truth: DataFrame, pred: DataFrame) -> DataFrame:
@@ -185,7 +186,7 @@ def confusion(pairs: DataFrame, vocabulary: list[str]) -> DataFrame:
     found = cells.groupBy("label").agg(
         total(t & p).alias("tp"), total(~t & p).alias("fp"), total(t & ~p).alias("fn")
     )
-    names = pairs.sparkSession.createDataFrame([(v,) for v in vocabulary], "label string")
+    names = names_table(pairs.sparkSession, vocabulary)
     n = pairs.agg(F.sum("n").alias("n")).scalar()
     full = names.join(found, "label", "left").fillna(0, ["tp", "fp", "fn"])
     tn = F.coalesce(n, F.lit(0)) - F.col("tp") - F.col("fp") - F.col("fn")

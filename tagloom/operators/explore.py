@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tagloom.functions import text as tx
 from tagloom.operators.ranking import top_per_group
-from tagloom.session import spread
+from tagloom.session import names_table, spread
 
 
 def combinations(df: DataFrame, labels: str = "labels") -> DataFrame:
@@ -52,7 +52,7 @@ def pair_counts(df: DataFrame, labels: str = "labels") -> DataFrame:
 def cooccurrence(df: DataFrame, vocabulary: list[str], labels: str = "labels") -> DataFrame:
     """The full label x label matrix in long form, zeros and zero diagonal included."""
     spark = df.sparkSession
-    cells = spark.createDataFrame([(v,) for v in vocabulary], "label_a string").select(
+    cells = names_table(spark, vocabulary, "label_a").select(
         "label_a", F.explode(F.lit(list(vocabulary))).alias("label_b")
     )
     found = pair_counts(df, labels)

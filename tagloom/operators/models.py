@@ -15,7 +15,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tagloom.fixed import SEED
-from tagloom.operators.balance import class_weights, unit
+from tagloom.functions.labels import sigmoid
+from tagloom.operators.balance import class_weights, positives, unit
+from tagloom.session import written
 
 ESTIMATORS = ("lreg", "svm", "dt", "rf", "mlp")
 # Cumulative Poisson(1) probabilities for 0..7 copies.
@@ -173,45 +175,53 @@ def model_weights(model: MultiLabelModel, index: DataFrame) -> DataFrame:
 # --- multinomial naive Bayes ----------------------------------------------------------------
 
 def bayes_fit(counts: DataFrame, vocabulary: list[str]) -> DataFrame:
-    """(label, term, log_pos, log_neg): smoothed log-probabilities of every term within and
-    outside each label, from explore.words_by_combination."""
-    pos = counts.select(F.explode("labels").alias("label"), "term", "tf") \
-        .groupBy("label", "term").agg(F.sum("tf").alias("pos"))
-    total = counts.groupBy("term").agg(F.sum("tf").alias("all"))
-    n_terms = total.agg(F.count(F.lit(1)).cast("double").alias("v")).scalar()
-    grand = total.agg(F.sum("all").cast("double").alias("a")).scalar()
-    sums = pos.groupBy("label").agg(F.sum("pos").cast("double").alias("pos_sum"))
-    names = counts.sparkSession.createDataFrame([(v,) for v in vocabulary], "label string")
-    per_label = names.join(sums, "label", "left").fillna(0.0, ["pos_sum"])
-    # Every term meets every label: the label list is unfolded per term, from a literal.
-    grid = total.select("term", "all", F.explode(F.lit(list(vocabulary))).alias("label"))
-    cells = grid.join(pos, ["label", "term"], "left").fillna(0, ["pos"]).join(per_label, "label")
-    return cells.select(
-        "label", "term",
-        F.log((F.col("pos") + 1.0) / (F.col("pos_sum") + n_terms)).alias("log_pos"),
-        F.log((F.col("all") - F.col("pos") + 1.0) / (grand - F.col("pos_sum") + n_terms)).alias("log_neg"),
-    )
+    """(term, log_pos, log_neg): smoothed log-probabilities of every term within and outside each
+    label, as arrays in vocabulary order, from explore.words_by_combination.
+
+    One aggregation by term with a sum per label. The table is written: totals over it are taken
+    first, then the logarithms.
+    """
+    inside = [F.sum(F.when(F.array_contains("labels", v), F.col("tf")).otherwise(0)).alias(f"c{i}")
+              for i, v in enumerate(vocabulary)]
+    table = written(counts.groupBy("term").agg(F.sum("tf").alias("all"), *inside), "bayes")
+    totals = table.agg(F.count(F.lit(1)).alias("v"), F.sum("all").alias("all"),
+                       *[F.sum(f"c{i}").alias(f"c{i}") for i in range(len(vocabulary))]).first()
+    v, grand = float(totals["v"]), float(totals["all"] or 0)
+    pos, neg = [], []
+    for i in range(len(vocabulary)):
+        held = float(totals[f"c{i}"] or 0)
+        c = F.col(f"c{i}")
+        pos.append(F.log((c + 1.0) / F.lit(held + v)))
+        neg.append(F.log((F.col("all") - c + 1.0) / F.lit(grand - held + v)))
+    return table.select("term", F.array(*pos).alias("log_pos"), F.array(*neg).alias("log_neg"))
+
+
+def bayes_weights(model: DataFrame, vocabulary: list[str]) -> DataFrame:
+    """The model in long form: (label, term, log_pos, log_neg)."""
+    names = F.lit(list(vocabulary)).alias("label")
+    return model.select("term", F.inline(F.arrays_zip(names, "log_pos", "log_neg"))) \
+        .select("label", "term", "log_pos", "log_neg")
 
 
 def bayes_priors(labels: DataFrame, vocabulary: list[str]) -> DataFrame:
     """(label, prior): ln of positive over negative record counts; null if one is empty."""
-    from tagloom.operators.balance import positives
-
     return positives(labels, vocabulary).select(
         "label", F.log(F.try_divide(F.col("pos").cast("double"), F.col("neg").cast("double"))).alias("prior")
     )
 
 
-def bayes_proba(tf: DataFrame, ids: DataFrame, model: DataFrame, priors: DataFrame) -> DataFrame:
-    """(id, label, p) for every id and every label with a prior. Terms unknown to the model are ignored."""
-    from tagloom.functions.labels import sigmoid
-
-    labels = [r["label"] for r in priors.select("label").limit(100_000).collect()]
-    score = (
-        tf.join(model, "term")
-        .groupBy("id", "label").agg(F.sum(F.col("tf") * (F.col("log_pos") - F.col("log_neg"))).alias("s"))
-    )
-    every = ids.select("id", F.explode(F.lit(labels)).alias("label"))
-    return every.join(score, ["id", "label"], "left").join(priors, "label").select(
-        "id", "label", sigmoid(F.coalesce("s", F.lit(0.0)) + F.col("prior")).alias("p")
-    ).filter(F.col("p").isNotNull())
+def bayes_proba(tf: DataFrame, ids: DataFrame, model: DataFrame, priors: DataFrame,
+                vocabulary: list[str]) -> DataFrame:
+    """(id, label, p) for every id and every label with a prior. Unknown terms are ignored.
+
+    A term of a text meets the model in one join row; the scores of a text are one sum per
+    label, added up before the shuffle.
+    """
+    known = {r["label"]: r["prior"] for r in priors.filter("prior is not null").collect()}  # a row per label
+    odds = [F.sum(F.col("tf") * (F.get("log_pos", i) - F.get("log_neg", i))).alias(f"s{i}")
+            for i, v in enumerate(vocabulary) if v in known]
+    scores = tf.join(model, "term").groupBy("id").agg(*odds)
+    cells = [F.struct(F.lit(v).alias("label"),
+                      sigmoid(F.coalesce(f"s{i}", F.lit(0.0)) + F.lit(known[v])).alias("p"))
+             for i, v in enumerate(vocabulary) if v in known]
+    return ids.select("id").join(scores, "id", "left").select("id", F.inline(F.array(*cells)))

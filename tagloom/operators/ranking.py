@@ -100,7 +100,7 @@ def equal_count_bins(df: DataFrame, value: str, identifier: str, bins: int = 20,
     (n mod bins) bins hold one row more. Equal values are ordered by md5 of the id. The rows are
     written first, since counting, ranking and the total all read them; pass narrow rows."""
     keyed = df.withColumn("_h", F.md5(F.col(identifier).cast("string")))
-    keyed = written(keyed.withColumn("_hp", F.substring("_h", 1, 2)), "binned")
+    keyed = written(keyed.withColumn("_hp", F.substring("_h", 1, 3)), "binned")
     ranked = exact_rank(keyed, [], [value, "_hp"], ["_h"], "_rank")
     total = keyed.agg(F.count(F.lit(1)).alias("n")).scalar()
     small = F.floor(total / bins)

@@ -7,6 +7,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Upper bound for anything a query may pull to the driver or put in a literal.
 MAX_DRIVER_ROWS = 1 << 20
@@ -68,3 +69,10 @@ def bounded_list(df: DataFrame, limit: int = MAX_DRIVER_ROWS) -> list:
     if len(rows) > limit:
         raise ValueError(f"more than {limit} values: too many to keep on the driver")
     return sorted(r[0] for r in rows)
+
+
+def names_table(spark: SparkSession, names: list[str], column: str = "label") -> DataFrame:
+    """A driver list as a one-column table. Built from a literal, so that the optimizer knows
+    how small it is and never broadcasts the other side instead."""
+    values = F.lit(list(names)) if names else F.array().cast("array<string>")
+    return spark.range(1).select(F.explode(values).alias(column))

@@ -168,14 +168,15 @@ def test_unknown_names(spark, docs):
 
 def test_naive_bayes(docs):
     counts = explore.words_by_combination(docs, tx.tokens(F.col("description")))
-    got = {(r["label"], r["term"]): (r["log_pos"], r["log_neg"]) for r in models.bayes_fit(counts, ["x", "y"]).collect()}
+    got = {(r["label"], r["term"]): (r["log_pos"], r["log_neg"]) for r in
+           models.bayes_weights(models.bayes_fit(counts, ["x", "y"]), ["x", "y"]).collect()}
     pos = " ".join(t for i, t in enumerate(TEXTS) if i % 2 == 0).split()
     neg = " ".join(t for i, t in enumerate(TEXTS) if i % 2 == 1).split()
     for term in ["apple", "banana", "cherry", "date", "fig"]:
         want = (np.log((pos.count(term) + 1) / (len(pos) + 5)), np.log((neg.count(term) + 1) / (len(neg) + 5)))
         assert got["y", term] == pytest.approx(want)
     tf = features.count_vectorize(docs)
-    p = models.bayes_proba(tf, docs, models.bayes_fit(counts, ["y"]), models.bayes_priors(docs, ["y"]))
+    p = models.bayes_proba(tf, docs, models.bayes_fit(counts, ["y"]), models.bayes_priors(docs, ["y"]), ["y"])
     assert p.count() == 5
 
 
