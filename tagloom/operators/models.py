@@ -16,10 +16,10 @@ from pyspark.sql import functions as F
 
 from tagloom.fixed import SEED
 from tagloom.functions.labels import sigmoid
-from tagloom.operators.balance import class_weights, positives, unit
+from tagloom.operators.balance import positives, unit
 from tagloom.session import written
 
-ESTIMATORS = ("lreg", "svm", "dt", "rf", "mlp")
+ESTIMATORS = ("lreg", "svm", "bayes", "dt", "rf", "mlp")
 # Cumulative Poisson(1) probabilities for 0..7 copies.
 POISSON_STEPS = [0.367879441171, 0.735758882343, 0.919698602929, 0.981011843124,
                  0.996340153173, 0.999405815182, 0.999916758850, 0.999989750803]
@@ -40,6 +40,8 @@ def estimator(name: str, weight_total: float, n_features: int, **options):
         c = options.pop("C", 1.0)
         return mc.LinearSVC(**common, weightCol="w", standardization=False,
                             regParam=1.0 / (c * weight_total), maxIter=options.pop("max_iter", 100), **options)
+    if name == "bayes":
+        return mc.NaiveBayes(**common, modelType="multinomial", smoothing=options.pop("alpha", 1.0))
     if name == "dt":
         return mc.DecisionTreeClassifier(**common, weightCol="w", seed=SEED,
                                          maxDepth=options.pop("max_depth", 20), **options)
@@ -52,16 +54,18 @@ def estimator(name: str, weight_total: float, n_features: int, **options):
         return mc.MultilayerPerceptronClassifier(
             **common, layers=[n_features, *hidden, 2], seed=options.pop("seed", SEED),
             maxIter=options.pop("max_iter", 200), **options)
-    raise ValueError(f"unknown estimator {name!r}; known: {', '.join(ESTIMATORS)}, knn, bayes")
+    raise ValueError(f"unknown estimator {name!r}; known: {', '.join(ESTIMATORS)}, knn")
 
 
 @dataclass
 class MultiLabelModel:
-    """Fitted models by label, in vocabulary order; a bagged label holds several."""
+    """Fitted models by label, in vocabulary order; a bagged label holds several. ``odds`` holds
+    factors that turn MLlib's smoothed class priors of naive Bayes into the plain ones."""
 
     name: str
     vocabulary: list[str]
     models: dict[str, list] = field(default_factory=dict)
+    odds: dict[str, float] = field(default_factory=dict)
 
     def predict_proba(self, rows: DataFrame, name: str = "proba") -> DataFrame:
         """Add the dense probability array; all models score in one pass over the rows."""
@@ -76,7 +80,11 @@ class MultiLabelModel:
                     votes.append(F.col(f"_y{tag}"))
                 else:
                     p = p.setProbabilityCol(f"_p{tag}")
-                    votes.append(F.get(vector_to_array(f"_p{tag}"), 1))
+                    share = F.get(vector_to_array(f"_p{tag}"), 1)
+                    if label in self.odds:
+                        k = F.lit(self.odds[label])
+                        share = share * k / (share * k + 1.0 - share)
+                    votes.append(share)
                 out = p.transform(out)
             total = votes[0]
             for v in votes[1:]:
@@ -85,20 +93,22 @@ class MultiLabelModel:
         return out.select(*kept, F.array(*parts).alias(name))
 
 
+def class_weight_column(y: Column, pos: float, n: float, class_weight: str | None) -> Column:
+    if class_weight not in (None, "balanced"):
+        raise ValueError(f"unknown class_weight {class_weight!r}")
+    if class_weight is None or not 0 < pos < n:
+        return F.lit(1.0)
+    return F.when(y == 1.0, F.lit(n / (2.0 * pos))).otherwise(F.lit(n / (2.0 * (n - pos))))
+
+
 def label_frames(rows: DataFrame, vocabulary: list[str], class_weight: str | None) -> dict[str, tuple]:
-    """label -> (frame with y and w, sum of w). Weights come from one aggregation over all labels."""
-    table = {r["label"]: r for r in class_weights(rows, vocabulary).collect()}
-    n = rows.count()
+    """label -> (frame with y and w, positives, rows), from one count over all labels."""
     frames = {}
-    for label in vocabulary:
+    for line in positives(rows, vocabulary).collect():  # one line per label
+        label, pos, n = line["label"], float(line["pos"]), float(line["n"])
         y = F.array_contains("labels", label).cast("double")
-        w: Column = F.lit(1.0)
-        if class_weight == "balanced":
-            r = table[label]
-            w = F.when(y == 1.0, F.lit(r["weight_pos"] or 1.0)).otherwise(F.lit(r["weight_neg"] or 1.0))
-        elif class_weight is not None:
-            raise ValueError(f"unknown class_weight {class_weight!r}")
-        frames[label] = (rows.select("id", "features", y.alias("y"), w.alias("w")), float(n))
+        w = class_weight_column(y, pos, n, class_weight)
+        frames[label] = (rows.select("id", "features", y.alias("y"), w.alias("w")), pos, n)
     return frames
 
 
@@ -116,7 +126,7 @@ def fit_multilabel(rows: DataFrame, vocabulary: list[str], name: str = "lreg",
     """``per_label`` replaces the (id, features, y) rows of some labels (balanced training sets).
     Fits run ``threads`` at a time over one cached table."""
     if name not in ESTIMATORS:
-        raise ValueError(f"unknown estimator {name!r}; known: {', '.join(ESTIMATORS)}, knn, bayes")
+        raise ValueError(f"unknown estimator {name!r}; known: {', '.join(ESTIMATORS)}, knn")
     owned = not rows.is_cached
     if owned:
         rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
@@ -129,7 +139,7 @@ def fit_multilabel(rows: DataFrame, vocabulary: list[str], name: str = "lreg",
         jobs = [(label, bag) for label in vocabulary for bag in range(bags if name == "svm" else 1)]
 
         def fit(job):
-            frame, total = frames[job[0]]
+            frame, _, total = frames[job[0]]  # the weights add up to the number of rows
             sample = resampled(frame, job[1], SEED) if name == "svm" else frame
             return estimator(name, total, n_features, **options).fit(sample)
 
@@ -141,22 +151,24 @@ def fit_multilabel(rows: DataFrame, vocabulary: list[str], name: str = "lreg",
     models: dict[str, list] = {}
     for (label, _), model in zip(jobs, fitted):
         models.setdefault(label, []).append(model)
-    return MultiLabelModel(name, list(vocabulary), models)
+    odds = {}
+    if name == "bayes":
+        for label, (_, pos, n) in frames.items():
+            if 0 < pos < n:
+                odds[label] = (pos / (n - pos)) / ((pos + 1.0) / (n - pos + 1.0))
+    return MultiLabelModel(name, list(vocabulary), models, odds)
 
 
-def weighted(frame: DataFrame, class_weight: str | None) -> tuple[DataFrame, float]:
-    """Add w to (id, features, y) rows; the weights add up to the number of rows."""
+def weighted(frame: DataFrame, class_weight: str | None) -> tuple[DataFrame, float, float]:
+    """Add w to (id, features, y) rows; also the numbers of positives and of rows."""
     frame = frame.withColumn("y", F.col("y").cast("double"))
-    pos, n = frame.agg(F.sum("y"), F.count(F.lit(1))).first()
-    if class_weight != "balanced" or not 0 < pos < n:
-        return frame.withColumn("w", F.lit(1.0)), float(n)
-    w = F.when(F.col("y") == 1.0, F.lit(n / (2.0 * pos))).otherwise(F.lit(n / (2.0 * (n - pos))))
-    return frame.withColumn("w", w), float(n)
+    pos, n = (float(x or 0) for x in frame.agg(F.sum("y"), F.count(F.lit(1))).first())
+    return frame.withColumn("w", class_weight_column(F.col("y"), pos, n, class_weight)), pos, n
 
 
 def model_weights(model: MultiLabelModel, index: DataFrame) -> DataFrame:
-    """(label, term, weight): coefficients, else feature importances. ``index`` is (term, index).
-    Empty for models that have neither."""
+    """(label, term, weight): coefficients, else feature importances, else the log-probabilities
+    of the positive class. ``index`` is (term, index). Empty for models without any of them."""
     spark = index.sparkSession
     rows = []
     for label in model.vocabulary:
@@ -165,8 +177,11 @@ def model_weights(model: MultiLabelModel, index: DataFrame) -> DataFrame:
             values = getattr(m, "coefficients", None)
             if values is None:
                 values = getattr(m, "featureImportances", None)
+            if values is None and hasattr(m, "theta"):
+                values = m.theta.toArray()[1]
             if values is not None:
-                rows.append((label, [float(v) for v in values.toArray()]))
+                values = values.toArray() if hasattr(values, "toArray") else values
+                rows.append((label, [float(v) for v in values]))
     table = spark.createDataFrame(rows, "label string, w array<double>")
     return table.select("label", F.posexplode("w").alias("index", "weight")) \
         .join(index.select("index", "term"), "index").select("label", "term", "weight")

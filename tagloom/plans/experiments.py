@@ -8,11 +8,13 @@ from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.ml.feature import MaxAbsScaler
-from pyspark.sql import DataFrame
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tagloom.functions.labels import decode_labels
-from tagloom.operators import balance, clean, decide, evaluate, features, models, split
+from tagloom.functions.text import clean_lemmas
+from tagloom.operators import balance, clean, decide, evaluate, features, models, neighbours, split
 from tagloom.session import scratch_path, written
 
 
@@ -30,12 +32,14 @@ class Config:
     class_weight: str | None = None
     at_least_one: bool = True
     estimator: str = "lreg"
+    lemmatized: bool = False  # text from the column lemmatized_description, cleaned
 
 
 # The published comparison: balancing x prune x vectorizer x class weight x at-least-one.
 STANDARD_RUNS = [
     Config("balanced, prune tf-idf", prune=True, class_weight="balanced"),
     Config("balanced tf-idf", class_weight="balanced"),
+    Config("balanced word2vec", vectorizer="word2vec", class_weight="balanced"),
     Config("baseline count", vectorizer="count", at_least_one=False),
     Config("atleast1 tf-idf"),
     Config("atleast1 count", vectorizer="count"),
@@ -52,6 +56,8 @@ STANDARD_RUNS = [
 def fit_features(train: DataFrame, test: DataFrame, cfg: Config,
                  scale: bool = True) -> tuple[DataFrame, DataFrame, DataFrame, int]:
     """(train rows, test rows, vocabulary index, size): vocabulary, idf and scale come from train."""
+    if cfg.vectorizer == "word2vec":
+        return embedding_features(train, test, scale)
     if cfg.vectorizer not in features.VECTORIZERS:
         raise ValueError(f"unknown vectorizer {cfg.vectorizer!r}; known: {features.VECTORIZERS}")
     # Counted once: vocabulary, document frequencies and rows all read the written counts.
@@ -65,25 +71,39 @@ def fit_features(train: DataFrame, test: DataFrame, cfg: Config,
         idf = features.inverse_frequency(tf_train, train)
         weights = [features.weigh(t, idf, cfg.sublinear) for t in (tf_train, tf_test)]
     rows = [features.sparse_rows(w, index, size, d.select("id")) for w, d in zip(weights, (train, test))]
-    if not scale:
-        return rows[0], rows[1], index, size
-    # Max-abs scaling of finished rows is row-local; its state is one number per term.
+    return (*(scaled(rows) if scale else rows), index, size)
+
+
+def scaled(rows: list[DataFrame]) -> list[DataFrame]:
+    """Max-abs scaling of finished rows: row-local, its state is one number per feature."""
     scaler = MaxAbsScaler(inputCol="features", outputCol="scaled").fit(rows[0])
-    scaled = [scaler.transform(r).select("id", F.col("scaled").alias("features")) for r in rows]
-    return scaled[0], scaled[1], index, size
+    return [scaler.transform(r).select("id", F.col("scaled").alias("features")) for r in rows]
+
 
+def embedding_features(train: DataFrame, test: DataFrame, scale: bool) -> tuple[DataFrame, DataFrame, None, int]:
+    """Mean word vectors, trained on the training texts; dense rows."""
+    size = 100
+    vectors = written(features.train_word_vectors(train, vector_size=size), "wordvectors")
+    rows = [features.mean_embedding(d, vectors, size).select("id", array_to_vector("embedding").alias("features"))
+            for d in (train, test)]
+    rows = [written(r, "vectors") for r in rows]
+    return (*(scaled(rows) if scale else rows), None, size)
 
-def balanced_sets(rows: DataFrame, vocabulary: list[str], ratio: float, size: int) -> dict[str, DataFrame]:
+
+def balanced_sets(rows: DataFrame, vocabulary: list[str], ratio: float, size: int,
+                  dense: bool = False) -> dict[str, DataFrame]:
     """label -> (id, features, y) with synthetic positives, for labels that need them."""
     spark = rows.sparkSession
     plan = balance.smote_plan(rows, vocabulary, ratio).collect()  # one line per label
     path = scratch_path(spark, "smote")
-    bare = rows.select("id", "labels", features.vector_parts("features").alias("features"))
+    bare = rows.select("id", "labels", plain_vector(dense).alias("features"))
 
     def balanced(job):
         i, line = job
         one = bare.select("id", "features", F.array_contains("labels", line["label"]).cast("int").alias("y"))
         made = balance.smote(one, line["synthesize"])
+        if dense:
+            return line["label"], written(made.withColumn("features", array_to_vector("features")), "smote")
         return line["label"], features.vector_table(made, size, f"{path}/{i}", extra=["y"])
 
     jobs = [(i, line) for i, line in enumerate(plan) if not line["skip"] and line["pos"] >= 2]
@@ -91,6 +111,11 @@ def balanced_sets(rows: DataFrame, vocabulary: list[str], ratio: float, size: in
         return dict(pool.map(balanced, jobs))
 
 
+def plain_vector(dense: bool) -> Column:
+    """The feature vector as an array or as sparse parts, for the neighbour search."""
+    return vector_to_array("features") if dense else features.vector_parts("features")
+
+
 def run_one(train: DataFrame, test: DataFrame, vocabulary: list[str], cfg: Config,
             prepared: tuple | None = None, max_iter: int = 1000) -> DataFrame:
     """(id, y_true, y_pred) of the test records."""
@@ -98,32 +123,45 @@ def run_one(train: DataFrame, test: DataFrame, vocabulary: list[str], cfg: Confi
         train = clean.prune_texts(train)
     train_x, test_x, _, size = prepared or fit_features(train, test, cfg)
     rows = train_x.join(train.select("id", "labels"), "id")
-    per_label = balanced_sets(rows, vocabulary, cfg.balancing_ratio, size) if cfg.balancing_ratio else None
-    model = models.fit_multilabel(rows, vocabulary, cfg.estimator, cfg.class_weight, size, per_label,
-                                  max_iter=max_iter)
-    scored = model.predict_proba(test_x)
+    dense = cfg.vectorizer == "word2vec"
+    if cfg.estimator == "knn":
+        sides = [r.withColumn("vector", plain_vector(dense)) for r in (rows, test_x)]
+        p = neighbours.knn_proba(sides[0], sides[1])
+        scored = decide.dense_scores(p, vocabulary, test_x)
+    else:
+        sets = balanced_sets(rows, vocabulary, cfg.balancing_ratio, size, dense) if cfg.balancing_ratio else None
+        options = {"max_iter": max_iter} if cfg.estimator in ("lreg", "svm", "mlp") else {}
+        model = models.fit_multilabel(rows, vocabulary, cfg.estimator, cfg.class_weight, size, sets, **options)
+        scored = model.predict_proba(test_x)
     rule = decide.predict_at_least_one if cfg.at_least_one else decide.predict_threshold
     hot = rule(scored)
     return hot.join(test.select("id", F.array_sort("labels").alias("y_true")), "id").select(
         "id", "y_true", decode_labels(F.col("pred"), vocabulary).alias("y_pred"), "proba")
 
 
+def lemma_text(df: DataFrame) -> DataFrame:
+    """The cleaned lemmas in place of the text; pruning looks at the text before."""
+    return df.withColumn("description", clean_lemmas(F.col("lemmatized_description")))
+
+
 METRICS = ["jaccard", "hamming", "precision", "recall", "at_least_one", "at_least_two"]
 
 
 def run_matrix(records: DataFrame, vocabulary: list[str], configs: list[Config] | None = None,
-               test: float = 0.1, max_iter: int = 1000) -> DataFrame:
-    """(run, metric, value) for every configuration, on one split."""
-    parts = split.stratified_split(records.select("id", "description", "labels"), test)
-    parts = written(parts, "split")
-    train, held = parts.filter("split = 'train'"), parts.filter("split = 'test'")
+               test: float = 0.1, max_iter: int = 1000, dev: bool = False) -> DataFrame:
+    """(run, metric, value) for every configuration, on one split; dev=True trains on the dev
+    share of the training set. Lemmatized runs need the column lemmatized_description."""
+    parts = written(split.stratified_split(records, test), "split")
+    train = parts.filter("dev" if dev else "split = 'train'")
+    held = parts.filter("split = 'test'")
     tables, prepared = [], {}
     for cfg in configs or STANDARD_RUNS:
         # Runs that differ only in balancing, class weight or decision rule share their features.
         key = replace(cfg, run="", balancing_ratio=None, class_weight=None, at_least_one=True, estimator="")
         if key not in prepared:
             base = clean.prune_texts(train) if cfg.prune else train
-            prepared[key] = fit_features(base, held, cfg)
+            texts = [lemma_text(d) if cfg.lemmatized else d for d in (base, held)]
+            prepared[key] = fit_features(texts[0], texts[1], cfg)
         scored = run_one(train, held, vocabulary, cfg, prepared[key], max_iter)
         one = evaluate.compute_metrics(scored, vocabulary, METRICS)
         tables.append(one.select(F.lit(cfg.run).alias("run"), "metric", "value"))

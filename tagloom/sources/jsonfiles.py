@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tagloom.fixed import DEFAULT_LABELS
 from tagloom.session import bounded_list
 
 
@@ -17,7 +18,10 @@ def write_vocabulary(labels: DataFrame, path: str) -> None:
     labels.select("label").write.json(path)
 
 
-def read_vocabulary(spark: SparkSession, path: str, limit: int = 10_000) -> list[str]:
+def read_vocabulary(spark: SparkSession, path: str | None = None, limit: int = 10_000) -> list[str]:
+    """The label names in a written vocabulary; without a path the default names."""
+    if path is None:
+        return list(DEFAULT_LABELS)
     return bounded_list(spark.read.schema("label string").json(path), limit)
 
 

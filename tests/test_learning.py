@@ -200,3 +200,33 @@ def test_explain_records(spark):
                               "label string, term string, weight double")
     got = {(r["id"], r["word"]): r["score"] for r in similarity.explain_records(scored, w).collect()}
     assert got == {(1, "good"): 0.5, (1, "bad"): 0.0, (1, "none"): 0.0, (2, "good"): 0.0}
+
+
+def test_bayes_model_equals_closed_form(spark, docs):
+    rng = np.random.default_rng(5)
+    x = rng.integers(0, 4, size=(40, 3)).astype(float)
+    y = rng.random(40) < 0.3
+    rows = spark.createDataFrame([(i, v.tolist(), ["p"] if t else []) for i, (v, t) in enumerate(zip(x, y))],
+                                 "id long, v array<double>, labels array<string>")
+    rows = rows.select("id", array_to_vector("v").alias("features"), "labels")
+    model = models.fit_multilabel(rows, ["p"], "bayes")
+    got = [r["proba"][0] for r in model.predict_proba(rows).orderBy("id").collect()]
+    log = {c: np.log((x[y == c].sum(0) + 1) / (x[y == c].sum() + 3)) for c in (True, False)}
+    score = x @ (log[True] - log[False]) + np.log(y.sum() / (~y).sum())
+    assert got == pytest.approx(list(1 / (1 + np.exp(-score))))
+    index = spark.createDataFrame([(i, f"f{i}") for i in range(3)], "index int, term string")
+    w = [r["weight"] for r in models.model_weights(model, index).orderBy("term").collect()]
+    assert w == pytest.approx(list(log[True]))
+
+
+def test_runs_of_every_kind(spark, sf):
+    from tagloom.catalog.learning import mark_docs
+    from tagloom.plans.experiments import METRICS, Config, run_matrix
+
+    d = mark_docs(spark, sf).select("id", "description", "labels", F.col("description").alias("lemmatized_description"))
+    names = ["en", "quality", "toxic"]
+    runs = [Config("w2v", vectorizer="word2vec", balancing_ratio=0.5), Config("knn", estimator="knn"),
+            Config("nb", vectorizer="count", estimator="bayes", lemmatized=True)]
+    out = run_matrix(d, names, runs, test=0.2, max_iter=5).collect()
+    assert len(out) == len(runs) * len(METRICS)
+    assert all(0 <= r["value"] <= 1 for r in out)
