@@ -24,6 +24,12 @@ PLACEHOLDER_PATTERNS = [
     r"(?:plot|story|synopsis).*unavailable",
 ]
 
+# A text that matches any placeholder pattern holds one of these, in any case.
+PLACEHOLDER_MARKS = [
+    "add a plot", "under wrap", "unknown", "undisclosed", "in development", "no plot", "tba",
+    "coming soon", "not available", "not disclosed", "unavailable",
+]
+
 # Tail of a cut-off text, and the author's signature.
 TRUNCATION_SUFFIX = r"\.{3,} *See full (?:summary|synopsis) »$"
 SIGNATURE = r"—.*$"

@@ -114,10 +114,24 @@ def ngrams(tokens_: Column, lo: int, hi: int) -> Column:
     return reduce(lambda a, b: F.concat(a, b), [of_size(n) for n in range(lo, hi + 1)])
 
 
+# Letters outside ASCII that case-insensitive regexes equate with i, s and k.
+FOLDING_LETTERS = ["\u0130", "\u0131", "\u017f", "\u212a"]
+
+
+def holds_any(text: Column, parts: list[str]) -> Column:
+    return reduce(lambda a, b: a | b, [F.contains(text, F.lit(p)) for p in parts])
+
+
+def may_match(text: Column, marks: list[str]) -> Column:
+    """Cheap test in front of a case-insensitive regex: byte search in the lower-cased text for
+    literals the regex needs. The one-element array makes the lower-casing happen once."""
+    found = F.exists(F.array(F.lower(text)), lambda low: holds_any(low, marks))
+    return F.coalesce(found | holds_any(text, FOLDING_LETTERS), F.lit(False))
+
+
 def contains_any(text: Column, parts: list[str]) -> Column:
     """Case-sensitive: does the text hold one of these substrings?"""
-    hit = reduce(lambda a, b: a | b, [F.contains(text, F.lit(p)) for p in parts])
-    return F.coalesce(hit, F.lit(False))
+    return F.coalesce(holds_any(text, parts), F.lit(False))
 
 
 def clean_lemmas(text: Column) -> Column:

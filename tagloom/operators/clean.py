@@ -29,10 +29,19 @@ def exclude_labels(df: DataFrame, names: list[str] = fixed.EXCLUDED_LABELS,
     return df.filter(~tx.matches(F.col(column), "|".join(names), ignore_case=True))
 
 
+def is_placeholder(column: Column, patterns: list[str]) -> Column:
+    """Does the text match any pattern? One alternation; for the known patterns only texts that
+    hold one of their literals reach the regex."""
+    hit = tx.matches(column, tx.any_of(patterns), ignore_case=True)
+    if patterns == fixed.PLACEHOLDER_PATTERNS:
+        return tx.may_match(column, fixed.PLACEHOLDER_MARKS) & hit
+    return hit
+
+
 def drop_placeholders(df: DataFrame, patterns: list[str] = fixed.PLACEHOLDER_PATTERNS,
                       column: str = "description") -> DataFrame:
-    """Drop rows whose text matches any pattern: one pass with one alternation."""
-    return df.filter(~tx.matches(F.col(column), tx.any_of(patterns), ignore_case=True))
+    """Drop rows whose text matches any pattern."""
+    return df.filter(~is_placeholder(F.col(column), patterns))
 
 
 def placeholder_counts(df: DataFrame, patterns: list[str] = fixed.PLACEHOLDER_PATTERNS,
@@ -47,7 +56,8 @@ def placeholder_counts(df: DataFrame, patterns: list[str] = fixed.PLACEHOLDER_PA
     )
     counts = [F.count_if(F.col("_first") == i).alias(f"_{i}") for i in range(len(patterns))]
     counts.append(F.count("_first").alias("_total"))
-    one_row = df.select(first.alias("_first")).agg(*counts)
+    # Texts without a match, nearly all of them, meet one alternation instead of every pattern.
+    one_row = df.filter(is_placeholder(col, patterns)).select(first.alias("_first")).agg(*counts)
     rows = [F.struct(F.lit(i).alias("pattern_no"), F.lit(p).alias("pattern"),
                      F.col(f"_{i}").alias("removed")) for i, p in enumerate(patterns)]
     rows.append(F.struct(F.lit(-1).alias("pattern_no"), F.lit("total").alias("pattern"),
@@ -56,7 +66,9 @@ def placeholder_counts(df: DataFrame, patterns: list[str] = fixed.PLACEHOLDER_PA
 
 
 def strip_truncation_suffix(df: DataFrame, column: str = "description") -> DataFrame:
-    return df.withColumn(column, tx.strip(tx.remove(F.col(column), fixed.TRUNCATION_SUFFIX)))
+    col = F.col(column)
+    cut = F.when(F.contains(col, F.lit("See full")), tx.remove(col, fixed.TRUNCATION_SUFFIX)).otherwise(col)
+    return df.withColumn(column, tx.strip(cut))
 
 
 def count_truncation_suffix(df: DataFrame, column: str = "description") -> DataFrame:
@@ -65,7 +77,9 @@ def count_truncation_suffix(df: DataFrame, column: str = "description") -> DataF
 
 def strip_signature(df: DataFrame, column: str = "description") -> DataFrame:
     """Cut from the first dash that has no line break after it (but for a final one)."""
-    return df.withColumn(column, tx.strip(tx.remove(F.col(column), fixed.SIGNATURE)))
+    col = F.col(column)
+    cut = F.when(F.contains(col, F.lit("\u2014")), tx.remove(col, fixed.SIGNATURE)).otherwise(col)
+    return df.withColumn(column, tx.strip(cut))
 
 
 def prune_by_length(df: DataFrame, lower: int = fixed.MIN_WORDS, upper: int = fixed.MAX_WORDS,

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tagloom.functions import text as tx
 from tagloom.operators.ranking import top_per_group
-from tagloom.session import names_table, spread
+from tagloom.session import names_table
 
 
 def combinations(df: DataFrame, labels: str = "labels") -> DataFrame:
@@ -133,7 +133,7 @@ def length_summary(df: DataFrame, column: str = "description") -> DataFrame:
 def corpus_top_words(df: DataFrame, tokens: str, n: int = 20,
                      stop_words: list[str] | str | None = "english") -> DataFrame:
     """Most common words (those that begin with a word character) without stop words."""
-    found = spread(df).select(F.explode(tokens).alias("raw")).select(F.lower("raw").alias("word"))
+    found = df.select(F.explode(tokens).alias("raw")).select(F.lower("raw").alias("word"))
     kept = found.filter(F.col("word").rlike(f"^[{tx.WORD}]"))
     listed = tx.stop_list(stop_words)
     if listed:
@@ -145,7 +145,7 @@ def words_by_combination(df: DataFrame, words: Column, labels: str = "labels") -
     """(labels, term, tf): words counted per distinct label combination. The map tasks shrink
     the texts to these counts; neither ids nor texts are shuffled."""
     return (
-        spread(df).select(F.col(labels).alias("labels"), F.explode(words).alias("term"))
+        df.select(F.col(labels).alias("labels"), F.explode(words).alias("term"))
         .groupBy("labels", "term").agg(F.count(F.lit(1)).alias("tf"))
     )
 

@@ -75,7 +75,8 @@ def test_placeholders_count_first_match_only(spark):
 
     texts = ["Add a Plot", "it is Under Wraps", "éunder wraps", "Plot\nunknown", "PLOT is UNKNOWN", "tba", "tban",
              "plot unknown and under wraps", "not available", "is not available", "the story is not available",
-             "Coming soon", "now coming soon", "the synopsis is unavailable", None]
+             "Coming soon", "now coming soon", "the synopsis is unavailable",
+             "\u017ftory not di\u017fclo\u017fed", "PLOT UN\u212aNOWN", "\u0130n development", None]
     left = [t for t in texts if t is not None]
     removed = []
     for p in PLACEHOLDER_PATTERNS:
