@@ -159,7 +159,7 @@ join (select label, count(*) as n from doc_labels group by label) using (label)
 
 def superdoc(spark, sf):
     counts = explore.words_by_combination(docs(spark, sf), tx.tokens(F.col("description")))
-    return similarity.label_superdoc_tfidf(written(counts, "counts"))
+    return similarity.label_superdoc_tfidf(counts)
 
 
 def average(spark, sf):
@@ -188,12 +188,12 @@ left join {source} b on b.term = a.term and b.label = 'en' where a.rn <= 100 and
 
 @query("tfidf_topk_similarity_superdoc", topk_sql("superdoc"), ("superdoc",))
 def tfidf_topk_similarity_superdoc(spark, sf):
-    return weights(similarity.tfidf_topk_similarity(superdoc(spark, sf), "en"), "cosine")
+    return weights(similarity.tfidf_topk_similarity(written(superdoc(spark, sf), "weights"), "en"), "cosine")
 
 
 @query("tfidf_topk_similarity_avg", topk_sql("avg_tfidf"), ("avg_tfidf",))
 def tfidf_topk_similarity_avg(spark, sf):
-    return weights(similarity.tfidf_topk_similarity(average(spark, sf), "en"), "cosine")
+    return weights(similarity.tfidf_topk_similarity(written(average(spark, sf), "weights"), "en"), "cosine")
 
 
 @query("label_vector_similarity", f"""select a.label, {r(COS, 7)} as cosine, {r('sqrt(sum((a.weight - b.weight) * (a.weight - b.weight)))', 6)} as euclidean

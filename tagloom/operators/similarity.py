@@ -8,13 +8,15 @@ from pyspark.sql import functions as F
 from tagloom.functions.labels import safe_ratio
 from tagloom.operators.features import idf
 from tagloom.operators.ranking import top_per_group
+from tagloom.session import written
 
 
 def label_superdoc_tfidf(counts: DataFrame, sublinear: bool = True) -> DataFrame:
     """(label, term, weight): TF-IDF where all texts of a label form one document. ``counts`` is
-    explore.words_by_combination; counts are added up, the long text is never built."""
-    sums = counts.select(F.explode("labels").alias("label"), "term", "tf") \
-        .groupBy("label", "term").agg(F.sum("tf").alias("tf"))
+    explore.words_by_combination; counts are added up, the long text is never built. The sums
+    are written: label count, term frequencies, weights and norms all read them."""
+    sums = written(counts.select(F.explode("labels").alias("label"), "term", "tf")
+                   .groupBy("label", "term").agg(F.sum("tf").alias("tf")), "superdoc")
     n = sums.agg(F.count_distinct("label").cast("double").alias("n")).scalar()
     df = sums.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     raw = (F.lit(1.0) + F.log(F.col("tf"))) if sublinear else F.col("tf").cast("double")
@@ -117,7 +119,8 @@ def extreme_feature_similarity(weights: DataFrame, reference: str, k: int = 100)
 
 
 def tfidf_topk_similarity(weights: DataFrame, reference: str, k: int = 100) -> DataFrame:
-    """(label, cosine) of each label's k top terms and the reference's values of them."""
+    """(label, cosine) of each label's k top terms and the reference's values of them. Reads the
+    weights three times: pass a written table if they are costly."""
     chosen = top_features(weights, k).select("label", "term")
     pairs = against(weights, reference).join(chosen, ["label", "term"], "left_semi")
     return pairs.groupBy("label").agg(cosine("weight", "ref").alias("cosine"))

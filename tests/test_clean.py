@@ -151,3 +151,32 @@ def test_equal_count_bins_is_ntile(spark):
         df = spark.range(n).withColumn("len", (F.col("id") * 7 % 11).cast("int"))
         sizes = [r["count"] for r in ranking.equal_count_bins(df, "len", "id", 20).groupBy("bin").count().orderBy("bin").collect()]
         assert sizes == [n // 20 + 1] * (n % 20) + [n // 20] * (20 - n % 20 if n >= 20 else 0)
+
+
+def test_conllu_is_the_same_over_many_splits(spark, sf):
+    from tagloom.catalog.cleaning import conversation_files
+
+    path = conversation_files(spark, sf)
+    whole = {r["movie_id"]: (r["description"], r["lemmatized_description"]) for r in conllu.scan_conllu(spark, path).collect()}
+    names = ["spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"]
+    before = [spark.conf.get(n) for n in names]
+    try:
+        for n, v in zip(names, ["3000", "0"]):
+            spark.conf.set(n, v)
+        df = conllu.scan_conllu(spark, path)
+        assert df.rdd.getNumPartitions() > 4
+        parts = {r["movie_id"]: (r["description"], r["lemmatized_description"]) for r in df.collect()}
+    finally:
+        for n, v in zip(names, before):
+            spark.conf.set(n, v)
+    assert parts == whole and len(whole) > 5
+
+
+def test_split_does_not_depend_on_partitions(spark, sf):
+    from tagloom.catalog.tables import order_labels
+    from tagloom.operators import split
+
+    df = order_labels(spark, sf)
+    a = split.stratified_split(df).select("id", "split", "dev")
+    b = split.stratified_split(df.orderBy(F.desc("id")).repartition(3)).select("id", "split", "dev")
+    assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
