@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tagloom.fixed import SMOTE_SEED
-from tagloom.functions.labels import literal_names
 from tagloom.operators.neighbours import is_sparse, nearest
 from tagloom.operators.ranking import exact_rank
 from tagloom.session import names_table
