@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.ml.linalg import VectorUDT
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -152,11 +153,11 @@ def mean_embedding(df: DataFrame, vectors: DataFrame, size: int, identifier: str
     placed = df.select(F.col(identifier).alias("id"), F.col(column).alias("_text")).repartition("id")
     counted = placed.select("id", F.explode(tx.words(F.col("_text"))).alias("word")) \
         .groupBy("id", "word").agg(F.count(F.lit(1)).cast("double").alias("n"))
-    # One plain sum per dimension: fixed-size buffers, added up before the shuffle.
-    n = F.col("n")
-    sums = [F.sum(n * F.get("vec", i).cast("double")).alias(f"s{i}") for i in range(size)]
-    found = counted.join(vectors.select("word", "vec"), "word").groupBy("id").agg(F.sum(n).alias("n"), *sums)
-    means = found.select("id", F.array(*[F.col(f"s{i}") / n for i in range(size)]).alias("m"))
+    # Measured faster than one plain sum per dimension, and its plan does not grow with the size.
+    vecs = vectors.select("word", array_to_vector(F.col("vec").cast("array<double>")).alias("v"))
+    means = counted.join(vecs, "word").groupBy("id").agg(
+        vector_to_array(Summarizer.mean(F.col("v"), F.col("n"))).alias("m")
+    )
     zero = F.array_repeat(F.lit(0.0), size)
     every = df.select(F.col(identifier).alias("id"))
     return every.join(means, "id", "left").select(
