@@ -16,11 +16,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tagloom.llm import arrays
+from tagloom.llm.common import fresh
 
 SPACE = "▁"
 NONE = np.iinfo(np.int32).max
 # Text encoded at once: larger slices repeat more of their words.
-ENCODE_BYTES = 8 << 20
+ENCODE_BYTES = 4 << 20
 
 
 class Vocabulary:
@@ -258,5 +259,19 @@ def decode(ids: Column | str, model_file: str) -> Column:
 
 
 def encode_decode(docs: DataFrame, model_file: str, text: str = "text") -> DataFrame:
-    """``docs`` with the columns ids and decoded."""
-    return docs.withColumn("ids", encode(text, model_file)).withColumn("decoded", decode("ids", model_file))
+    """``docs`` with the columns ids and decoded, both made by one Python worker per task, slice by slice."""
+    kind = pa.struct([("ids", pa.list_(pa.int32())), ("decoded", pa.string())])
+
+    @F.arrow_udf("ids array<int>, decoded string")
+    def both(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        v = vocabulary(model_file)
+        for batch in batches:
+            parts = []
+            for x in arrays.slices(batch, ENCODE_BYTES):
+                lists = arrays.list_array(*encode_texts(v, x), pa.int32())
+                parts.append(pa.StructArray.from_arrays([lists, decode_lists(v, lists).cast(pa.string())], fields=list(kind)))
+            yield arrays.joined(parts, kind)
+
+    coded = fresh(docs, "coded")
+    kept = [c for c in docs.columns if c not in ("ids", "decoded")]
+    return docs.withColumn(coded, both(text)).select(*kept, f"{coded}.*")
