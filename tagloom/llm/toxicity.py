@@ -81,28 +81,31 @@ def features(texts: pa.Array, wanted: np.ndarray | None = None) -> tuple[np.ndar
     return (key >> np.uint64(BITS)).astype(np.int64), (key & np.uint64((1 << BITS) - 1)).astype(np.int64)
 
 
-def train(rows: list[np.ndarray], labels: np.ndarray, s: Settings) -> Model:
-    """FTRL-proximal over the rows in their order, once per epoch; the bias has no L1 term."""
-    if not len(rows):
+def train(flat: np.ndarray, ends: np.ndarray, order: list[int], labels: np.ndarray, s: Settings) -> Model:
+    """FTRL-proximal over the rows ``flat[ends[k]:ends[k + 1]]`` in the given order, once per epoch; the bias has no L1
+    term. The rows stay in the one array they came in."""
+    if not len(order):
         return Model(np.zeros(0, np.int64), np.zeros(0), None)
-    z, n = np.zeros((1 << BITS) + 1), np.zeros((1 << BITS) + 1)
-    l1 = np.full((1 << BITS) + 1, s.l1)
-    l1[-1] = 0
-    rows = [np.append(x, 1 << BITS) for x in rows]
+    z, n = np.zeros(1 << BITS), np.zeros(1 << BITS)
+    bias_z = bias_n = 0.0
 
-    def weights(at):
-        grown = np.abs(z[at]) - l1[at]
-        return np.where(grown <= 0, 0, -np.sign(z[at]) * grown / ((s.beta + np.sqrt(n[at])) / s.alpha + s.l2))
+    def weights(z, n, l1):
+        grown = np.abs(z) - l1
+        return np.where(grown <= 0, 0, -np.sign(z) * grown / ((s.beta + np.sqrt(n)) / s.alpha + s.l2))
 
     for _ in range(s.epochs):
-        for at, y in zip(rows, labels):
-            w = weights(at)
-            g = 1 / (1 + np.exp(-np.clip(w.sum(), -35, 35))) - y
-            z[at] += g - (np.sqrt(n[at] + g * g) - np.sqrt(n[at])) / s.alpha * w
-            n[at] += g * g
-    w = weights(slice(None))
-    at = np.flatnonzero(w[:-1])
-    return Model(at, w[at], float(w[-1]))
+        for k in order:
+            at, y = flat[ends[k] : ends[k + 1]], labels[k]
+            old_z, old_n = z[at], n[at]
+            w, bias = weights(old_z, old_n, s.l1), float(weights(bias_z, bias_n, 0.0))
+            g = 1 / (1 + np.exp(-np.clip(w.sum() + bias, -35, 35))) - y
+            new_n = old_n + g * g
+            z[at] = old_z + g - (np.sqrt(new_n) - np.sqrt(old_n)) / s.alpha * w
+            n[at] = new_n
+            bias_z += g - (np.sqrt(bias_n + g * g) - np.sqrt(bias_n)) / s.alpha * bias
+            bias_n += g * g
+    at = np.flatnonzero(np.abs(z) > s.l1)
+    return Model(at, weights(z[at], n[at], s.l1), float(weights(bias_z, bias_n, 0.0)))
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str, doc_id: str = "doc_id", text: str = "text", settings: Settings | None = None) -> Model:
@@ -124,9 +127,9 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, doc_id: str = "doc_id",
     # The sample has max_rows rows at most, so it may be sent to all executors.
     sample = (docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).join(F.broadcast(known), "id")
               .select("h", "id", "y", coordinates(F.lower("text")).alias("at")).toArrow())
-    found = sorted(zip(*(sample[c].to_pylist() for c in ("h", "id", "y")), range(sample.num_rows)))
-    lists = [np.array(x.values if x.values is not None else [], np.int64) for x in sample["at"]]
-    return train([lists[k] for *_, k in found], np.array([y for _, _, y, _ in found], float), s)
+    lists = sample["at"].combine_chunks()
+    order = sorted(range(len(lists)), key=list(zip(*(sample[c].to_pylist() for c in ("h", "id", "y")))).__getitem__)
+    return train(lists.values.to_numpy(), np.asarray(lists.offsets), order, sample["y"].to_numpy().astype(float), s)
 
 
 def score(text: Column | str, model: Model) -> Column:
