@@ -290,9 +290,12 @@ def keep_first(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sett
     texts that differ stay once each."""
     classes = written(near_duplicates(docs, doc_id, text, settings), "near_duplicates")
     gone = classes.where(f"class_id < {doc_id}").select(doc_id).distinct()
-    kept = docs.join(gone, doc_id, "left_anti")
     again = written(classes.where(F.col(doc_id).isNotNull()).groupBy(doc_id).count().where("count > 1").select(doc_id), "repeated")
-    once = kept.join(again, doc_id, "left_anti")
+    # One shuffle of the texts at any size; ids are the build side.
+    if again.isEmpty():
+        return docs.join(gone.hint("shuffle_hash"), doc_id, "left_anti").select(docs.columns)
+    once = docs.join(gone.union(again).distinct().hint("shuffle_hash"), doc_id, "left_anti")
     mark = fresh(docs, "text_hash")
-    many = kept.join(again, doc_id, "left_semi").withColumn(mark, F.xxhash64(text)).dropDuplicates([doc_id, mark]).drop(mark)
-    return once.unionByName(many).select(docs.columns)
+    many = docs.join(again.join(gone, doc_id, "left_anti").hint("shuffle_hash"), doc_id, "left_semi")
+    many = many.withColumn(mark, F.xxhash64(text)).dropDuplicates([doc_id, mark]).drop(mark)
+    return once.select(docs.columns).unionByName(many.select(docs.columns))
