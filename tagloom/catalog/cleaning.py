@@ -11,7 +11,7 @@ from tagloom.functions import labels as lb
 from tagloom.functions import text as tx
 from tagloom.operators import clean, ranking
 from tagloom.plans import cleaning as plan
-from tagloom.session import names_table, scratch_path
+from tagloom.session import names_table, scratch_path, written
 from tagloom.sources import conllu, csvfiles, jsonfiles
 
 RECORD = "movie_id, movie_name, description, genre"
@@ -68,7 +68,7 @@ def scan_union(spark, sf):
 @query("read_override", "select movie_id, description from override", ("override",))
 def read_override(spark, sf):
     path = scratch_path(spark, "override")
-    rows = override_rows(spark, sf).repartition(1).sortWithinPartitions("doc_id")
+    rows = override_rows(spark, sf).repartitionByRange("doc_id").sortWithinPartitions("doc_id")
     csvfiles.write_csv_all_quoted(rows.select("ids", F.coalesce("plots", F.lit("NaN")).alias("plots")), path)
     return csvfiles.read_override(spark, path)
 
@@ -319,9 +319,9 @@ cte("clean_voc", "select label, row_number() over (order by label) as i from (se
 from cleaned c""", ("cleaned", "clean_voc"))
 def clean_pipeline(spark, sf):
     """The whole cleaning run, with labels also as a 0/1 vector."""
-    raw, new = raw_records(spark, sf), override(spark, sf)
-    names = clean.load_vocabulary(plan.repaired_records(raw, new))
-    done = plan.clean_records(raw, new)
+    repaired = written(plan.repaired_records(raw_records(spark, sf), override(spark, sf)), "repaired")
+    names = clean.load_vocabulary(repaired)
+    done = plan.unique_records(repaired)
     hot = lb.encode_labels(F.col("labels"), names)
     return joined(done.withColumn("encoded", F.array_join(hot.cast("array<string>"), " ")))
 

@@ -134,10 +134,10 @@ def save_load_vectors(spark, sf):
     return back.select("word", F.size("vec").alias("size"), rnd(F.get("vec", 63).cast("double")).alias("last_value"))
 
 
-@query("train_word_vectors")
+@query("train_word_vectors", f"""select word, cast(100 as int) as size from (
+  select unnest({sql_words('description')}) as word from docs) group by word having count(*) >= 5""", ("docs",))
 def train_word_vectors(spark, sf):
-    return features.train_word_vectors(docs(spark, sf), vector_size=20, epochs=1).select(
-        "word", F.size("vec").alias("size"))
+    return features.train_word_vectors(docs(spark, sf)).select("word", F.size("vec").alias("size"))
 
 
 @query("pca_project")

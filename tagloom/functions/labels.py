@@ -64,6 +64,6 @@ def keyword_fraction(text: Column, keywords: list[str]) -> Column:
     """Share of the keywords that occur as substrings of the lower-cased text."""
     if not keywords:
         return F.lit(0.0)
-    low = F.lower(text)
-    hits = F.size(F.filter(literal_names(keywords), lambda k: F.contains(low, k)))
-    return hits.cast("double") / F.lit(float(len(keywords)))
+    # The lowered text is the one element of an array, so that it is made once and not once per keyword.
+    hits = F.transform(F.array(F.lower(text)), lambda low: F.size(F.filter(literal_names(keywords), lambda k: F.contains(low, k))))
+    return F.get(hits, 0).cast("double") / F.lit(float(len(keywords)))

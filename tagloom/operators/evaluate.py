@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tagloom.functions import text as tx
 from tagloom.functions.labels import decode_labels, safe_ratio, signed_overlap
 from tagloom.operators.ranking import equal_count_bins
-from tagloom.session import names_table
+from tagloom.session import names_table, written
 
 
 def align_truth_pred(ids: DataFrame, truth: DataFrame, pred: DataFrame) -> DataFrame:
@@ -303,7 +303,8 @@ def metrics_by_length(scored: DataFrame, n_labels: int, text: str = "description
     rows = score_per_record(scored, n_labels, metric).select(
         tx.word_count(F.col(text)).alias("len"), "score"
     )
-    by_len = rows.groupBy("len").agg(F.count(F.lit(1)).alias("n"), F.sum("score").alias("s"))
+    # Written: the maximum comes from these counts too, not from a second pass over the texts.
+    by_len = written(rows.groupBy("len").agg(F.count(F.lit(1)).alias("n"), F.sum("score").alias("s")), "by_length")
     longest = by_len.agg(F.max("len").alias("m")).scalar()
     # Bin edges are i * max / bins, as in an evenly spaced grid.
     edge = F.transform(F.sequence(F.lit(0), F.lit(bins)), lambda i: i * (F.col("_max") / F.lit(float(bins))))

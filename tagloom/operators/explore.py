@@ -52,7 +52,8 @@ def pair_counts(df: DataFrame, labels: str = "labels") -> DataFrame:
 def cooccurrence(df: DataFrame, vocabulary: list[str], labels: str = "labels") -> DataFrame:
     """The full label x label matrix in long form, zeros and zero diagonal included."""
     spark = df.sparkSession
-    cells = names_table(spark, vocabulary, "label_a").select(
+    # The first axis is dealt out before the second unfolds, or one task would make all cells.
+    cells = names_table(spark, vocabulary, "label_a").repartition("label_a").select(
         "label_a", F.explode(F.lit(list(vocabulary))).alias("label_b")
     )
     found = pair_counts(df, labels)

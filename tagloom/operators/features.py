@@ -167,21 +167,25 @@ def mean_embedding(df: DataFrame, vectors: DataFrame, size: int, identifier: str
 
 def train_word_vectors(df: DataFrame, column: str = "description", vector_size: int = 100,
                        window: int = 5, min_count: int = 5, epochs: int = 5, seed: int = 42069,
-                       partitions: int | None = None) -> DataFrame:
-    """(word, vec): Word2Vec on whitespace words (MLlib's skip-gram)."""
+                       partitions: int = 8) -> DataFrame:
+    """(word, vec): Word2Vec on whitespace words (MLlib's skip-gram).
+
+    The vectors depend on ``partitions``, so it is a number of its own and not that of the cores.
+    MLlib keeps the vocabulary x size matrix on the driver."""
     from pyspark.ml.feature import Word2Vec
 
     sentences = df.select(tx.words(F.col(column)).alias("words"))
     model = Word2Vec(
         inputCol="words", vectorSize=vector_size, windowSize=window, minCount=min_count,
         maxIter=epochs, seed=seed,
-        numPartitions=partitions or df.sparkSession.sparkContext.defaultParallelism,
+        numPartitions=partitions,
     ).fit(sentences)
     return model.getVectors().select("word", vector_to_array("vector").cast("array<float>").alias("vec"))
 
 
 def pca_project(df: DataFrame, k: int = 2, identifier: str = "id", column: str = "embedding") -> DataFrame:
-    """(id, projection array<double>) onto the k first principal axes."""
+    """(id, projection array<double>) onto the k first principal axes. MLlib forms the d x d
+    covariance on the driver."""
     from pyspark.ml.feature import PCA
 
     rows = df.select(identifier, array_to_vector(F.col(column).cast("array<double>")).alias("_v"))

@@ -131,7 +131,8 @@ def explain_records(scored: DataFrame, weights: DataFrame, text: str = "descript
     """(id, position, word, score): each word of a text scored by the summed weights of the
     record's predicted labels, relative to the largest such sum.
 
-    Weight sums are built once per distinct label combination, not per record.
+    Weight sums are built once per distinct label combination, not per record, and divided by
+    their largest there; words without a positive sum score 0, so one join over the words is all.
     """
     from tagloom.functions import text as tx
     from tagloom.functions.labels import word_score
@@ -141,10 +142,13 @@ def explain_records(scored: DataFrame, weights: DataFrame, text: str = "descript
         combos.select("_combo", F.explode("_combo").alias("label")).join(weights, "label")
         .groupBy("_combo", F.col("term").alias("word")).agg(F.sum("weight").alias("_w"))
     )
+    sums = written(sums, "sums")
     largest = sums.groupBy("_combo").agg(F.max("_w").alias("_max"))
+    shares = sums.filter(F.col("_w") > 0).join(largest, "_combo").select(
+        "_combo", "word", word_score(F.col("_w"), F.col("_max")).alias("score"))
     words = scored.select("id", F.col(pred).alias("_combo"),
                           F.posexplode(tx.words(F.col(text))).alias("position", "word"))
     return (
-        words.join(sums, ["_combo", "word"], "left").join(largest, "_combo", "left")
-        .select("id", "position", "word", word_score(F.col("_w"), F.col("_max")).alias("score"))
+        words.join(shares, ["_combo", "word"], "left")
+        .select("id", "position", "word", F.coalesce("score", F.lit(0.0)).alias("score"))
     )

@@ -20,6 +20,10 @@ def repaired_records(raw: DataFrame, override: DataFrame | None = None) -> DataF
     return c.strip_signature(c.strip_truncation_suffix(c.drop_placeholders(merged)))
 
 
-def clean_records(raw: DataFrame, override: DataFrame | None = None) -> DataFrame:
+def unique_records(repaired: DataFrame) -> DataFrame:
     """Unique texts, then unique ids, the first in (movie_id, movie_name) order."""
-    return c.dedup_by_id(c.dedup_by_text(repaired_records(raw, override)))
+    return c.dedup_by_id(c.dedup_by_text(repaired))
+
+
+def clean_records(raw: DataFrame, override: DataFrame | None = None) -> DataFrame:
+    return unique_records(repaired_records(raw, override))

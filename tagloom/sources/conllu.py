@@ -45,7 +45,8 @@ def scan_conllu(spark: SparkSession, path: str, limit: int | None = None) -> Dat
         found = head_n(found, limit, ["_file", "_start", "_row"])
     lines = F.col("lines")
     with_prefix = lambda p: F.filter(lines, lambda x: F.startswith(x, F.lit(p)))
-    genre = F.split(F.regexp_replace(between_equals(F.get(with_prefix("# genre"), 0)), r"[\[\]']", ""), " ")
+    genres = with_prefix("# genre")  # the last one holds
+    genre = F.split(F.regexp_replace(between_equals(F.get(genres, F.size(genres) - 1)), r"[\[\]']", ""), " ")
     token_lines = F.filter(lines, lambda x: x.rlike(r"^\p{Nd}"))
     return found.select(
         between_equals(F.get(lines, 0)).alias("movie_id"),
