@@ -285,7 +285,10 @@ def layouts(content: list[list[str]], other: list[str], seed: int = 7, copies: i
 
 def fit(pages: DataFrame, page: str = "html", max_pages: int = 256) -> Model:
     """Train on at most ``max_pages`` pages, those with the smallest hash of their source, and layouts made of their texts."""
-    some = pages.select(F.col(page).alias("html")).where("html is not null").orderBy(F.xxhash64("html"), "html").limit(max_pages)
+    rows = pages.select(F.col(page).alias("html")).where("html is not null").withColumn("h", F.xxhash64("html"))
+    # Hashes first, so that no task sends pages that are not chosen; copies of a page count once.
+    first = [r["h"] for r in rows.select("h").distinct().orderBy("h").limit(max_pages).collect()]
+    some = rows.where(F.col("h").isin(first)).groupBy("h").agg(F.min("html").alias("html")).orderBy("h").select("html")
     own, content, other = [], [], []
     for (source,) in some.collect():
         texts, features, labels = marked(source)
