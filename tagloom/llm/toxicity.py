@@ -83,11 +83,13 @@ def features(texts: pa.Array, wanted: np.ndarray | None = None) -> tuple[np.ndar
 
 def train(flat: np.ndarray, ends: np.ndarray, order: list[int], labels: np.ndarray, s: Settings) -> Model:
     """FTRL-proximal over the rows ``flat[ends[k]:ends[k + 1]]`` in the given order, once per epoch; the bias has no L1
-    term. The rows stay in the one array they came in."""
+    term and starts from the log odds of the labels, so that few rows do not leave it near even odds. The rows stay in the
+    one array they came in."""
     if not len(order):
         return Model(np.zeros(0, np.int64), np.zeros(0), None)
     z, n = np.zeros(1 << BITS), np.zeros(1 << BITS)
     bias_z = bias_n = 0.0
+    odds = float(np.log((labels.sum() + 0.5) / (len(labels) - labels.sum() + 0.5)))
 
     def weights(z, n, l1):
         grown = np.abs(z) - l1
@@ -98,14 +100,14 @@ def train(flat: np.ndarray, ends: np.ndarray, order: list[int], labels: np.ndarr
             at, y = flat[ends[k] : ends[k + 1]], labels[k]
             old_z, old_n = z[at], n[at]
             w, bias = weights(old_z, old_n, s.l1), float(weights(bias_z, bias_n, 0.0))
-            g = 1 / (1 + np.exp(-np.clip(w.sum() + bias, -35, 35))) - y
+            g = 1 / (1 + np.exp(-np.clip(w.sum() + odds + bias, -35, 35))) - y
             new_n = old_n + g * g
             z[at] = old_z + g - (np.sqrt(new_n) - np.sqrt(old_n)) / s.alpha * w
             n[at] = new_n
             bias_z += g - (np.sqrt(bias_n + g * g) - np.sqrt(bias_n)) / s.alpha * bias
             bias_n += g * g
     at = np.flatnonzero(np.abs(z) > s.l1)
-    return Model(at, weights(z[at], n[at], s.l1), float(weights(bias_z, bias_n, 0.0)))
+    return Model(at, weights(z[at], n[at], s.l1), odds + float(weights(bias_z, bias_n, 0.0)))
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str, doc_id: str = "doc_id", text: str = "text", settings: Settings | None = None) -> Model:

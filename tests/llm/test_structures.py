@@ -1,6 +1,7 @@
 """Chat formatting, personal data, main text, neighbours and the pipeline."""
 
 import hashlib
+import html
 import random
 import re
 
@@ -122,7 +123,7 @@ def page_model(spark, sf):
 def test_given_pages(spark, sf, page_model):
     for r in spark.read.parquet(f"{sf}/pages.parquet").collect():
         inner = re.search(r"<article>(.*?)</article>", r["html"], re.S).group(1)
-        blocks = [" ".join(re.sub(r"<[^>]+>", " ", b).split()) for b in re.split(r"</?(?:p|h1)>", inner)]
+        blocks = [" ".join(html.unescape(re.sub(r"<[^>]+>", " ", b)).split()) for b in re.split(r"</?(?:p|h1)>", inner)]
         assert page_model.main_text(r["html"]) == "\n".join(b for b in blocks if b)
 
 
