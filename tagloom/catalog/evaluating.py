@@ -190,9 +190,9 @@ def metrics_by_length(spark, sf):
 cte("binned", "select *, ntile(20) over (order by len, md5(cast(id as varchar))) as b from bin", "bin")
 
 
-@query("equal_count_bins", "select id, cast(b as int) as bin from binned", ("binned",))
+@query("equal_count_bins", "select id, cast(ntile(20) over (order by len, md5(cast(id as varchar))) as int) as bin from bin_all", ("bin_all",))
 def equal_count_bins(spark, sf):
-    d = binary_docs(spark, sf).select("id", tx.word_count(F.col("description")).alias("len"))
+    d = docs(spark, sf).select("id", tx.word_count(F.col("description")).alias("len"))
     return ranking.equal_count_bins(d, "len", "id").select("id", "bin")
 
 
@@ -399,9 +399,9 @@ def keyword_match(spark, sf):
     return d.select("id", F.inline(hits))
 
 
-@query("predict_binary_boosted", f"select id, y, cast(proba * 0.5 + {fraction_sql('en')} > 0.5 as int) as p from bin", ("bin",))
+@query("predict_binary_boosted", f"select id, y, cast(proba * 0.5 + {fraction_sql('en')} > 0.5 as int) as p from bin_all", ("bin_all",))
 def predict_binary_boosted(spark, sf):
-    half = binary_docs(spark, sf).withColumn("proba", F.col("proba") * 0.5)
+    half = binary_docs(spark, sf, "left").withColumn("proba", F.col("proba") * 0.5)
     return decide.predict_binary_boosted(half, KEYWORDS["en"]).select("id", "y", "p")
 
 
@@ -409,10 +409,10 @@ def boosted(v: str) -> str:
     return f"(proba * 0.5 + {fraction_sql(v)})"
 
 
-@query("boost_proba", f"select id, " + ", ".join(f"{r(boosted(v))} as {v}" for v in sorted(KEYWORDS)) + " from bin", ("bin",))
+@query("boost_proba", f"select id, " + ", ".join(f"{r(boosted(v))} as {v}" for v in sorted(KEYWORDS)) + " from bin_all", ("bin_all",))
 def boost_proba(spark, sf):
     names = sorted(KEYWORDS)
-    d = binary_docs(spark, sf).withColumn("proba", F.array_repeat(F.col("proba") * 0.5, len(names)))
+    d = binary_docs(spark, sf, "left").withColumn("proba", F.array_repeat(F.col("proba") * 0.5, len(names)))
     out = decide.boost_proba(d, KEYWORDS, names)
     return out.select("id", *[rnd(F.get("proba", i)).alias(v) for i, v in enumerate(names)])
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tagloom import fixed
 from tagloom.catalog.tables import (DIGITS, cte, doc_scored, docs, lang_docs, lang_model, lang_weights, query, rnd, sql_list,
-                                    sql_tokens, sql_words, table, order_labels)
+                                    sql_tokens, sql_words, table, all_order_labels)
 from tagloom.functions import text as tx
 from tagloom.operators import balance, clean, explore, features, models, neighbours, similarity, split
 from tagloom.plans import experiments
@@ -285,7 +285,7 @@ def word_score_scale(spark, sf):
 
 cte("strata", """select id, stratum, row_number() over (partition by stratum order by md5(concat(cast(id as varchar), '42069'))) as rn,
   cast(concat('0x', substr(md5(stratum), 1, 6)) as bigint) as o1, cast(concat('0x', substr(md5(stratum), 7, 6)) as bigint) as o2
-from (select id, string_agg(label, '|' order by label) as stratum from order_labels group by id)""", "order_labels")
+from (select id, coalesce(string_agg(label, '|' order by label), '') as stratum from ids left join order_labels using (id) group by id)""", "ids", "order_labels")
 
 
 def off(o: str, ratio: float) -> str:
@@ -306,23 +306,23 @@ T1 = picked("rn", "o1", 0.1)
 @query("stratified_split", f"""select id, case when {T1} then 'test' else 'train' end as split,
   not {T1} and {picked(f"(rn - {taken('rn', 'o1', 0.1)})", 'o2', 0.1)} as dev from strata""", ("strata",))
 def stratified_split(spark, sf):
-    return split.stratified_split(order_labels(spark, sf)).select("id", "split", "dev")
+    return split.stratified_split(all_order_labels(spark, sf)).select("id", "split", "dev")
 
 
 @query("train_val_test", f"""select id, case when not {picked('rn', 'o1', 0.2)} then 'train'
   when {picked(taken('rn', 'o1', 0.2), 'o2', 0.5)} then 'test' else 'val' end as split from strata""", ("strata",))
 def train_val_test(spark, sf):
-    return split.train_val_test(order_labels(spark, sf)).select("id", "split")
+    return split.train_val_test(all_order_labels(spark, sf)).select("id", "split")
 
 
 @query("train_val_split", f"select id, case when {picked('rn', 'o1', 0.2)} then 'val' else 'train' end as split from strata", ("strata",))
 def train_val_split(spark, sf):
-    return split.train_val_test(order_labels(spark, sf), test_share=0).select("id", "split")
+    return split.train_val_test(all_order_labels(spark, sf), test_share=0).select("id", "split")
 
 
 @query("stratified_kfold", "select id, cast((rn - 1 + o1) % 5 as int) as fold from strata", ("strata",))
 def stratified_kfold(spark, sf):
-    return split.stratified_kfold(order_labels(spark, sf)).select("id", "fold")
+    return split.stratified_kfold(all_order_labels(spark, sf)).select("id", "fold")
 
 
 # --- class weights and balancing ----------------------------------------------------------------

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from tagloom.functions import text as tx
 from tagloom.operators import clean, evaluate, explore, models
-from tagloom.session import spread
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -82,38 +81,36 @@ def sql_list(values: list[str]) -> str:
 
 # --- raw records: documents with markers by source, so that every cleaning rule has work ----
 
-RAW = [
+# Every text is read. Sources 0 and 3 also have one row more per document that holds a
+# placeholder only; its doc_id is negative, so that doc_id stays a key.
+KEYS = [
     "concat('tt', cast(doc_id div 2 as string)) as movie_id",
     "concat('name ', lang, ' ', cast(doc_id div 4 as string)) as movie_name",
-    """case source when 'src0' then 'Add a Plot'
-        when 'src1' then concat(text, '... See full summary »')
+]
+TEXT = """case source when 'src1' then concat(text, '... See full summary »')
         when 'src2' then concat(text, '—', source)
-        when 'src3' then 'Plot details are UNKNOWN'
         when 'src4' then concat('Still under wraps: ', text)
         when 'src6' then concat(text, '..... See full synopsis »')
         when 'src7' then concat('A story Directed By ', source, ' ', text)
-        else text end as description""",
-    "case source when 'src5' then concat(lang, ', News') else concat(lang, ', ', source) end as genre",
-]
+        else text end as description"""
+PLACEHOLDER = "case source when 'src0' then 'Add a Plot' else 'Plot details are UNKNOWN' end as description"
+GENRE = "case source when 'src5' then concat(lang, ', News') else concat(lang, ', ', source) end as genre"
 
 
 def raw_records(spark: SparkSession, sf: str) -> DataFrame:
-    return spread(table(spark, sf, "documents")).selectExpr(*RAW, "doc_id")
+    d = table(spark, sf, "documents")
+    empty = d.filter("source in ('src0', 'src3')")
+    return d.selectExpr(*KEYS, TEXT, GENRE, "doc_id").unionByName(
+        empty.selectExpr(*KEYS, PLACEHOLDER, GENRE, "-1 - doc_id as doc_id"))
+
 
+def sql_div(expr: str) -> str:
+    return expr.replace(" div ", " // ").replace("as string", "as varchar")
 
-cte("raw", """select concat('tt', cast(doc_id // 2 as varchar)) as movie_id,
-  concat('name ', lang, ' ', cast(doc_id // 4 as varchar)) as movie_name,
-  case source when 'src0' then 'Add a Plot'
-    when 'src1' then concat(text, '... See full summary »')
-    when 'src2' then concat(text, '—', source)
-    when 'src3' then 'Plot details are UNKNOWN'
-    when 'src4' then concat('Still under wraps: ', text)
-    when 'src6' then concat(text, '..... See full synopsis »')
-    when 'src7' then concat('A story Directed By ', source, ' ', text)
-    else text end as description,
-  case source when 'src5' then concat(lang, ', News') else concat(lang, ', ', source) end as genre,
-  doc_id
-from documents""")
+
+cte("raw", f"""select {", ".join(map(sql_div, KEYS))}, {TEXT}, {GENRE}, doc_id from documents
+union all
+select {", ".join(map(sql_div, KEYS))}, {PLACEHOLDER}, {GENRE}, -1 - doc_id as doc_id from documents where source in ('src0', 'src3')""")
 
 
 def override_rows(spark: SparkSession, sf: str) -> DataFrame:
@@ -139,7 +136,7 @@ from override_rows where plots is not null group by ids""", "override_rows")
 
 def docs(spark: SparkSession, sf: str) -> DataFrame:
     """(id, description, labels = [language, source], lang, source)."""
-    return spread(table(spark, sf, "documents")).select(
+    return table(spark, sf, "documents").select(
         F.col("doc_id").alias("id"), F.col("text").alias("description"),
         F.array("lang", "source").alias("labels"), "lang", "source")
 
@@ -190,17 +187,19 @@ from doc_grid group by id""", "doc_grid")
 
 # --- marked documents as a one-label problem ---------------------------------------------------
 
-def binary_docs(spark: SparkSession, sf: str) -> DataFrame:
-    """(id, description, y, proba, p): truth = quality mark, probability from the word count."""
-    d = docs(spark, sf).join(table(spark, sf, "labels").withColumnRenamed("doc_id", "id"), "id")
+def binary_docs(spark: SparkSession, sf: str, marked: str = "inner") -> DataFrame:
+    """(id, description, y, proba, p): truth = quality mark, probability from the word count.
+    ``marked="left"`` keeps documents without a mark; their y is null."""
+    d = docs(spark, sf).join(table(spark, sf, "labels").withColumnRenamed("doc_id", "id"), "id", marked)
     wc = tx.word_count(F.col("description")).cast("double")
     d = d.select("id", "description", F.col("quality").alias("y"), (wc / (wc + 100.0)).alias("proba"))
     return d.withColumn("p", (F.col("proba") >= 0.5).cast("int"))
 
 
-cte("bin", f"""select id, description, y, wc / (wc + 100.0) as proba, cast(wc / (wc + 100.0) >= 0.5 as int) as p, cast(wc as bigint) as len
-from (select id, description, quality as y, cast(len({sql_words('description')}) as double) as wc
-      from docs join labels on doc_id = id)""", "docs")
+cte("bin_all", f"""select id, description, y, wc / (wc + 100.0) as proba, cast(wc / (wc + 100.0) >= 0.5 as int) as p, cast(wc as bigint) as len, marked
+from (select id, description, quality as y, doc_id is not null as marked, cast(len({sql_words('description')}) as double) as wc
+      from docs left join labels on doc_id = id)""", "docs")
+cte("bin", "select * exclude (marked) from bin_all where marked", "bin_all")
 
 
 # --- orders as records, part types as labels ----------------------------------------------------
@@ -228,6 +227,13 @@ def order_labels(spark: SparkSession, sf: str) -> DataFrame:
     return items(spark, sf).groupBy("id").agg(F.array_sort(F.collect_set("label")).alias("labels"))
 
 
+def all_order_labels(spark: SparkSession, sf: str) -> DataFrame:
+    """(id, labels) of all orders; without items the labels are empty."""
+    every = order_ids(spark, sf).select("id", F.lit(None).cast("string").alias("label"))
+    return items(spark, sf).select("id", "label").unionByName(every) \
+        .groupBy("id").agg(F.array_sort(F.collect_set("label")).alias("labels"))
+
+
 def order_scored(spark: SparkSession, sf: str) -> DataFrame:
     """(id, y_true, y_pred) of all orders, those without items included; one shuffle."""
     none = F.lit(None).cast("string")

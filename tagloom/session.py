@@ -54,16 +54,6 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def spread(scan: DataFrame) -> DataFrame:
-    """Deal rows out to all cores when the input has fewer splits than the cluster has cores
-    (one small file, heavy per-row work). Large inputs pass through untouched. Only for a bare
-    scan: asking a plan with shuffles for its partitions would run it."""
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    if scan.rdd.getNumPartitions() < cores:
-        return scan.repartition(cores)
-    return scan
-
-
 def bounded_list(df: DataFrame, limit: int = MAX_DRIVER_ROWS) -> list:
     """First column of ``df`` as a sorted driver list, after checking that it is small."""
     rows = df.limit(limit + 1).collect()
