@@ -358,14 +358,31 @@ def embedded(spark, sf, label: int):
         (F.col("label") == label).cast("int").alias("y"))
 
 
-@query("smote", """select y, cast(count(*) + case when y = 1 then (select greatest(cast(floor(0.5 * sum(cast(label <> 1 as int))) as bigint) - sum(cast(label = 1 as int)), 0) from embeddings) else 0 end as bigint) as n
-from (select cast(label = 1 as int) as y from embeddings) group by y""")
+DISTANCE = "sqrt(list_sum(list_transform(range(1, 65), lambda i: (cast(a.embedding[i] as double) - cast(b.embedding[i] as double)) * (cast(a.embedding[i] as double) - cast(b.embedding[i] as double)))))"
+DRAW = "cast(concat('0x', substr(md5(concat_ws('|', id, copy, '{tag}')), 1, 8)) as bigint) / 4294967296.0"
+SEED = fixed.SMOTE_SEED
+cte("minority", f"""select vec_id as id, embedding, row_number() over (order by md5(concat_ws('|', vec_id, '{SEED}')), vec_id) as place,
+  count(*) over () as n, (select greatest(cast(floor(0.5 * sum(cast(label <> 1 as int))) as bigint) - sum(cast(label = 1 as int)), 0) from embeddings) as made
+from embeddings where label = 1""")
+cte("minority_near", f"""select a.id, b.id as other, row_number() over (partition by a.id order by {DISTANCE}, b.id) as rank
+from minority a join minority b on a.id <> b.id""", "minority")
+cte("synthetic", f"""select id, copy, floor({DRAW.format(tag=f'n{SEED}')} * 5) + 1 as rank, {DRAW.format(tag=f'u{SEED}')} as u
+from (select id, unnest(range(1, cast(made // n + cast(place <= made % n as bigint) + 1 as bigint))) as copy from minority)""", "minority")
+
+
+@query("smote", f"""select vec_id as id, cast(0 as bigint) as copy, cast(label = 1 as int) as y, cast(g.i - 1 as int) as dim, {r('cast(embedding[g.i] as double)', 7)} as value
+from embeddings cross join range(1, 65) g(i)
+union all
+select s.id, s.copy, 1, cast(g.i - 1 as int), {r('cast(a.embedding[g.i] as double) + u * (cast(b.embedding[g.i] as double) - cast(a.embedding[g.i] as double))', 7)}
+from synthetic s join minority_near m on m.id = s.id and m.rank = s.rank join minority a on a.id = s.id join minority b on b.id = m.other
+cross join range(1, 65) g(i)""", ("minority", "minority_near", "synthetic"))
 def smote(spark, sf):
-    """Class sizes after balancing one embedding class to half of the rest."""
+    """Every component of all vectors after balancing one embedding class to half of the rest."""
     rows = embedded(spark, sf, 1)
     plan = rows.select(F.when(F.col("y") == 1, F.array(F.lit("1"))).otherwise(F.array().cast("array<string>")).alias("labels"))
     line = balance.smote_plan(plan, ["1"], 0.5).first()
-    return balance.smote(rows, line["synthesize"]).groupBy(F.col("y")).agg(F.count(F.lit(1)).alias("n"))
+    out = balance.smote(rows, line["synthesize"])
+    return out.select("id", "copy", "y", F.posexplode("features").alias("dim", "value")).withColumn("value", rnd("value", 7))
 
 
 # --- neighbours ---------------------------------------------------------------------------------
@@ -375,7 +392,6 @@ def vectors(spark, sf):
         F.col("vec_id").alias("id"), F.col("embedding").cast("array<double>").alias("vector"))
 
 
-DISTANCE = "sqrt(list_sum(list_transform(range(1, 65), lambda i: (cast(a.embedding[i] as double) - cast(b.embedding[i] as double)) * (cast(a.embedding[i] as double) - cast(b.embedding[i] as double)))))"
 cte("near", f"""select * from (select *, row_number() over (partition by id order by distance, neighbour_id) as rn from (
   select a.vec_id as id, b.vec_id as neighbour_id, {DISTANCE} as distance from embeddings a join embeddings b on a.vec_id <> b.vec_id)) where rn <= 5""")
 

@@ -71,41 +71,37 @@ def between(a: Column, b: Column, u: Column, sparse: bool) -> Column:
 
 def smote(df: DataFrame, synthesize: int, k: int = 5, seed: int = SMOTE_SEED,
           target: str = "y", vector: str = "features") -> DataFrame:
-    """(id, vector, y) plus ``synthesize`` positives x + u (nn - x), nn one of the k nearest
-    positives of x. Every positive gives floor or ceil of the equal share, in md5 order;
-    neighbour and u come from a hash of (id, copy, seed), so the result is repeatable.
+    """(id, copy, vector, y): the records with copy 0, and ``synthesize`` positives x + u (nn - x),
+    nn one of the k nearest positives of x, under the id of x with copy 1, 2, ... Every positive
+    gives floor or ceil of the equal share, in md5 order; neighbour and u come from a hash of
+    (id, copy, seed), so the result is repeatable. Ids may be of any type.
 
-    ``synthesize`` is one line of smote_plan. The new rows are negative ids.
+    ``synthesize`` is one line of smote_plan. At least k + 1 positives are needed.
     """
-    pos = df.filter(F.col(target) == 1).select("id", F.col(vector).alias("vector"))
+    kept = df.select("id", F.lit(0).cast("long").alias("copy"), vector, F.col(target).cast("int").alias(target))
     if synthesize <= 0:
-        return df.select("id", vector, target)
+        return kept
+    pos = df.filter(F.col(target) == 1).select("id", F.col(vector).alias("vector"))
     n = pos.count()
-    if n < 2:
-        raise ValueError("need two positive records to interpolate between")
-    k = min(k, n - 1)
+    if n <= k:
+        raise ValueError(f"{n} positive records, but {k} neighbours of each are asked for")
     each, extra = divmod(synthesize, n)
-    near = nearest(pos, pos, k, exclude_self=True).select("id", "rank", F.col("neighbour_id"))
+    near = nearest(pos, pos, k, exclude_self=True).select("id", "rank", "neighbour_id")
 
-    copies = F.lit(each)
+    copies, sources = F.lit(each).cast("long"), pos
     if extra:
         # One more copy for the `extra` first positives in hash order.
         order = pos.select("id", F.md5(F.concat_ws("|", F.col("id").cast("string"), F.lit(str(seed)))).alias("_h"))
         order = exact_rank(order.withColumn("_b", F.substring("_h", 1, 3)), [], ["_b"], ["_h", "id"], "_r")
-        pos_copies = pos.join(order.select("id", "_r"), "id")
-        copies = F.lit(each) + (F.col("_r") <= extra).cast("int")
-    else:
-        pos_copies = pos
+        sources = pos.join(order.select("id", "_r"), "id")
+        copies = copies + (F.col("_r") <= extra).cast("long")
     drawn = (
-        pos_copies.withColumn("_copies", copies).filter(F.col("_copies") > 0)
-        .select("id", "vector", F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("copy"))
+        sources.withColumn("_copies", copies).filter(F.col("_copies") > 0)
+        .select("id", "vector", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))).alias("copy"))
         .withColumn("rank", (F.floor(unit(F.col("id"), F.col("copy"), F.lit(f"n{seed}")) * k) + 1).cast("int"))
         .withColumn("u", unit(F.col("id"), F.col("copy"), F.lit(f"u{seed}")))
     )
     other = pos.select(F.col("id").alias("neighbour_id"), F.col("vector").alias("other"))
     made = drawn.join(near, ["id", "rank"]).join(other, "neighbour_id")
     mixed = between(F.col("vector"), F.col("other"), F.col("u"), is_sparse(df, vector))
-    # Ids of synthetic rows: negative, distinct per (record, copy).
-    new_id = -(F.col("id") * F.lit(each + 1) + F.col("copy"))
-    new = made.select(new_id.alias("id"), mixed.alias(vector), F.lit(1).alias(target))
-    return df.select("id", vector, F.col(target).cast("int").alias(target)).unionByName(new)
+    return kept.unionByName(made.select("id", "copy", mixed.alias(vector), F.lit(1).alias(target)))

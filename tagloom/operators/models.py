@@ -114,8 +114,10 @@ def label_frames(rows: DataFrame, vocabulary: list[str], class_weight: str | Non
 
 
 def resampled(frame: DataFrame, bag: int, seed: int) -> DataFrame:
-    """Bootstrap by Poisson(1) weights from a hash of (id, bag): same rows on every rerun."""
-    u = unit(F.col("id"), F.lit(bag), F.lit(seed))
+    """Bootstrap by Poisson(1) weights from a hash of (id, bag): same rows on every rerun.
+    Synthetic rows of one record differ in ``copy``."""
+    key = [F.col("id"), F.col("copy")] if "copy" in frame.columns else [F.col("id")]
+    u = unit(*key, F.lit(bag), F.lit(seed))
     copies = sum(((u >= s).cast("int") for s in POISSON_STEPS), F.lit(0))
     return frame.withColumn("w", F.col("w") * copies).filter(F.col("w") > 0)
 
@@ -124,7 +126,7 @@ def fit_multilabel(rows: DataFrame, vocabulary: list[str], name: str = "lreg",
                    class_weight: str | None = None, n_features: int | None = None,
                    per_label: dict[str, DataFrame] | None = None, threads: int = 4,
                    bags: int = BAGS, **options) -> MultiLabelModel:
-    """``per_label`` replaces the (id, features, y) rows of some labels (balanced training sets).
+    """``per_label`` replaces the (id, copy, features, y) rows of some labels (balanced training sets).
     Fits run ``threads`` at a time over one cached table."""
     if name not in ESTIMATORS:
         raise ValueError(f"unknown estimator {name!r}; known: {', '.join(ESTIMATORS)}, knn")
@@ -161,7 +163,7 @@ def fit_multilabel(rows: DataFrame, vocabulary: list[str], name: str = "lreg",
 
 
 def weighted(frame: DataFrame, class_weight: str | None) -> tuple[DataFrame, float, float]:
-    """Add w to (id, features, y) rows; also the numbers of positives and of rows."""
+    """Add w to (id, copy, features, y) rows; also the numbers of positives and of rows."""
     frame = frame.withColumn("y", F.col("y").cast("double"))
     pos, n = (float(x or 0) for x in frame.agg(F.sum("y"), F.count(F.lit(1))).first())
     return frame.withColumn("w", class_weight_column(F.col("y"), pos, n, class_weight)), pos, n

@@ -1,5 +1,5 @@
 """Fit, predict and score runs over labelled texts: split -> features -> models -> decisions ->
-metrics. Input records: (id long, description, labels array<string>)."""
+metrics. Input records: (id, description, labels array<string>)."""
 
 from __future__ import annotations
 
@@ -92,7 +92,8 @@ def embedding_features(train: DataFrame, test: DataFrame, scale: bool) -> tuple[
 
 def balanced_sets(rows: DataFrame, vocabulary: list[str], ratio: float, size: int,
                   dense: bool = False) -> dict[str, DataFrame]:
-    """label -> (id, features, y) with synthetic positives, for labels that need them."""
+    """label -> (id, copy, features, y) with synthetic positives, for labels that need them. A label
+    with too few positives to interpolate between is an error."""
     spark = rows.sparkSession
     plan = balance.smote_plan(rows, vocabulary, ratio).collect()  # one line per label
     path = scratch_path(spark, "smote")
@@ -104,9 +105,9 @@ def balanced_sets(rows: DataFrame, vocabulary: list[str], ratio: float, size: in
         made = balance.smote(one, line["synthesize"])
         if dense:
             return line["label"], written(made.withColumn("features", array_to_vector("features")), "smote")
-        return line["label"], features.vector_table(made, size, f"{path}/{i}", extra=["y"])
+        return line["label"], features.vector_table(made, size, f"{path}/{i}", extra=["copy", "y"])
 
-    jobs = [(i, line) for i, line in enumerate(plan) if not line["skip"] and line["pos"] >= 2]
+    jobs = [(i, line) for i, line in enumerate(plan) if line["synthesize"] > 0]
     with ThreadPoolExecutor(max_workers=4) as pool:
         return dict(pool.map(balanced, jobs))
 

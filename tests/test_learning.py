@@ -108,6 +108,51 @@ def test_fewer_points_than_k(spark):
     assert neighbours.nearest(df, df, 10, exclude_self=True).count() == 6
 
 
+def test_string_ids(spark):
+    """The same neighbours, shares and synthetic rows, whether ids are strings or numbers past 2^62."""
+    rng = np.random.default_rng(4)
+    pts = rng.normal(size=(40, 4))
+    pts[20:] = pts[:20]  # ties, decided by id
+    def frame(name, kind):
+        return spark.createDataFrame([(name(i), p.tolist(), ["x"] if i % 3 else []) for i, p in enumerate(pts)],
+                                     f"id {kind}, vector array<double>, labels array<string>")
+    text = frame(lambda i: f"tt{i:04d}", "string")
+    big = frame(lambda i: 8 * 10**18 + i, "long")
+    a = {(int(r["id"][2:]), r["rank"], int(r["neighbour_id"][2:])) for r in neighbours.nearest(text, text, 3, True).collect()}
+    b = {(r["id"] - 8 * 10**18, r["rank"], r["neighbour_id"] - 8 * 10**18) for r in neighbours.nearest(big, big, 3, True).collect()}
+    assert a == b and len(a) == 120
+    assert all(0 < r["p"] <= 1 for r in neighbours.knn_proba(text, text, 3).collect())
+    for df in (text, big):
+        one = df.select("id", F.col("vector").alias("features"), F.size("labels").alias("y"))
+        out = balance.smote(one, 30)
+        assert out.schema["id"].dataType == df.schema["id"].dataType
+        assert out.count() == 70 and out.select("id", "copy").distinct().count() == 70
+
+
+def test_no_points(spark):
+    df = spark.createDataFrame([("a", [1.0])], "id string, vector array<double>")
+    assert neighbours.nearest(df, df.filter("false"), 2).count() == 0
+
+
+def test_too_few_positives(spark):
+    df = spark.createDataFrame([(i, [float(i)], int(i < 3)) for i in range(9)], "id long, features array<double>, y int")
+    with pytest.raises(ValueError, match="3 positive"):
+        balance.smote(df, 2)
+
+
+def test_sparse_slices(spark, monkeypatch):
+    """Columns cut into many slices give the same distances."""
+    rng = np.random.default_rng(5)
+    pts = rng.random((30, 40)) * (rng.random((30, 40)) < 0.3)
+    cells = [[np.flatnonzero(p) for p in pts], [p[p != 0] for p in pts]]
+    rows = neighbours.Rows(*cells, True)
+    monkeypatch.setattr(neighbours, "SLICE_VALUES", 180)
+    want = np.sqrt(((pts[:, None] - pts[None]) ** 2).sum(-1))
+    assert np.allclose(neighbours.distances(rows, rows), want, atol=1e-6)
+    i, j = np.nonzero(np.ones_like(want))
+    assert np.allclose(neighbours.pair_distances(rows, rows, i, j), want[i, j], atol=1e-12)
+
+
 def test_smote_counts_and_convexity(spark):
     rng = np.random.default_rng(3)
     pts = rng.normal(size=(60, 3))
@@ -117,9 +162,10 @@ def test_smote_counts_and_convexity(spark):
     plan = balance.smote_plan(labels, ["p"], 0.75).first()
     assert (plan["pos"], plan["neg"], plan["skip"], plan["synthesize"]) == (12, 48, False, 24)
     out = balance.smote(df, plan["synthesize"]).toPandas()
-    assert (out["y"] == 1).sum() == 36 and out["id"].is_unique
+    assert (out["y"] == 1).sum() == 36 and not out.duplicated(["id", "copy"]).any()
     pos = pts[:12]
-    for v in out.loc[out["id"] < 0, "features"]:
+    assert (out["copy"] > 0).sum() == 24
+    for v in out.loc[out["copy"] > 0, "features"]:
         # Each new point lies on the segment between two positives.
         v = np.array(v)
         gaps = [np.linalg.norm(v - a) + np.linalg.norm(v - b) - np.linalg.norm(a - b)
