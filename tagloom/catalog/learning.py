@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.ml.functions import array_to_vector
+from functools import reduce
+
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from tagloom import fixed
@@ -432,8 +434,8 @@ def marked_rows(spark, sf):
     return marked_vectors(spark, sf).select("id", array_to_vector("vector").alias("features"), "labels")
 
 
-def fitted(name: str, **options) -> None:
-    @query(f"fit_{name}")
+def fitted(name: str, sql: str | None = None, needs: tuple[str, ...] = (), **options) -> None:
+    @query(f"fit_{name}", sql, needs)
     def run(spark, sf):
         """One model per mark on the embeddings; probabilities for all marked records."""
         rows = marked_rows(spark, sf)
@@ -443,10 +445,43 @@ def fitted(name: str, **options) -> None:
 
 
 fitted("lreg", class_weight="balanced")
-fitted("svm", max_iter=20)
-fitted("dt", max_depth=10)
-fitted("rf", n_estimators=20, max_depth=10)
-fitted("mlp", hidden=[20], max_iter=50)
+fitted("svm")
+# A tree of full depth gives back the marks it was fitted on.
+fitted("dt", "select vec_id as id, cast(quality as double) as quality, cast(toxic as double) as toxic from marked", ("marked",))
+fitted("rf")
+fitted("mlp")
+
+
+U = "(cast(concat('0x', substr(md5(concat_ws('|', vec_id, bag, '{seed}')), 1, 8)) as bigint) / 4294967296.0)"
+
+
+@query("bootstrap_copies", f"""select vec_id as id, cast(bag as int) as bag, cast(len(list_filter({models.POISSON_STEPS}, lambda s: u >= s)) as int) as copies
+from (select vec_id, bag, {U.format(seed=fixed.SEED)} as u from marked cross join range({models.BAGS}) b(bag)) where u >= {models.POISSON_STEPS[0]}""", ("marked",))
+def bootstrap_copies(spark, sf):
+    """How often each marked record is drawn into each bag of the bagged models; records left out have no row."""
+    rows = marked_rows(spark, sf).select("id", F.lit(1).alias("w"))
+    bags = [models.resampled(rows, bag, fixed.SEED).select("id", F.lit(bag).alias("bag"), F.col("w").alias("copies"))
+            for bag in range(models.BAGS)]
+    return reduce(lambda a, b: a.unionByName(b), bags)
+
+
+@query("lreg_optimum", """select label, cast(g.i - 1 as int) as dim, 0.0::double as slope
+from (values ('quality'), ('toxic')) v(label) cross join range(1, 66) g(i)""")
+def lreg_optimum(spark, sf):
+    """Slope of the objective of the logistic models at the fitted coefficients, per record; the last
+    dimension is the intercept. It vanishes at the optimum."""
+    rows = marked_rows(spark, sf)
+    model = models.fit_multilabel(rows, MARKS, "lreg", n_features=64, tol=1e-12)
+    scored = model.predict_proba(rows).select("labels", "proba", F.concat(vector_to_array("features"), F.array(F.lit(1.0))).alias("x"))
+    slopes = []
+    for i, v in enumerate(MARKS):
+        miss = F.get("proba", i) - F.array_contains("labels", v).cast("double")
+        coefficients = F.array(*[F.lit(float(c)) for c in model.models[v][0].coefficients], F.lit(0.0))
+        one = scored.select(F.posexplode(F.transform("x", lambda x: x * miss)).alias("dim", "g")) \
+            .groupBy("dim").agg(F.sum("g").alias("g"), F.count(F.lit(1)).alias("n"))
+        slopes.append(one.select(F.lit(v).alias("label"), "dim",
+                                 (F.round((F.col("g") + F.get(coefficients, F.col("dim"))) / F.col("n"), 5) + 0.0).alias("slope")))
+    return reduce(lambda a, b: a.unionByName(b), slopes)
 
 
 @query("model_weights")

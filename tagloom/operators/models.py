@@ -25,10 +25,12 @@ ESTIMATORS = ("lreg", "svm", "bayes", "dt", "rf", "mlp")
 # Cumulative Poisson(1) probabilities, to where they are 1 in double precision.
 POISSON_STEPS = list(accumulate(math.exp(-1) / math.factorial(k) for k in range(18)))
 BAGS = 10
+MAX_DEPTH = 30  # MLlib accepts no deeper trees
 
 
 def estimator(name: str, weight_total: float, n_features: int, **options):
-    """The MLlib estimator for a name, on columns features, y and w."""
+    """The MLlib estimator for a name, on columns features, y and w. Trees grow to MLlib's greatest
+    depth unless ``max_depth`` says otherwise."""
     from pyspark.ml import classification as mc
 
     common = {"featuresCol": "features", "labelCol": "y"}
@@ -45,11 +47,11 @@ def estimator(name: str, weight_total: float, n_features: int, **options):
         return mc.NaiveBayes(**common, modelType="multinomial", smoothing=options.pop("alpha", 1.0))
     if name == "dt":
         return mc.DecisionTreeClassifier(**common, weightCol="w", seed=SEED,
-                                         maxDepth=options.pop("max_depth", 20), **options)
+                                         maxDepth=options.pop("max_depth", MAX_DEPTH), **options)
     if name == "rf":
         return mc.RandomForestClassifier(**common, weightCol="w", seed=options.pop("seed", SEED),
                                          numTrees=options.pop("n_estimators", 100),
-                                         maxDepth=options.pop("max_depth", 20), **options)
+                                         maxDepth=options.pop("max_depth", MAX_DEPTH), **options)
     if name == "mlp":
         hidden = options.pop("hidden", [100])
         return mc.MultilayerPerceptronClassifier(
