@@ -513,29 +513,38 @@ def bayes(spark, sf):
 # --- experiments ----------------------------------------------------------------------------------
 
 def mark_docs(spark, sf):
-    """(id, description, labels): marked documents with language and marks as labels."""
+    """(id, description, lemmatized_description, labels): marked documents with language and marks as labels; the
+    words stand in for lemmas."""
     marks = table(spark, sf, "labels").withColumnRenamed("doc_id", "id")
-    return docs(spark, sf).join(marks, "id").select("id", "description", F.array_sort(F.array_compact(F.array(
-        F.col("lang"), F.when(F.col("quality") == 1, "quality"), F.when(F.col("toxic") == 1, "toxic")))).alias("labels"))
+    return docs(spark, sf).join(marks, "id").select(
+        "id", "description", F.array_join(tx.words(F.col("description")), " ").alias("lemmatized_description"),
+        F.array_sort(F.array_compact(F.array(
+            F.col("lang"), F.when(F.col("quality") == 1, "quality"), F.when(F.col("toxic") == 1, "toxic")))).alias("labels"))
 
 
-@query("run_matrix")
-def run_matrix(spark, sf):
-    """Four lines of the standard run matrix, fewer solver steps."""
+def standard_runs(spark, sf, runs):
     d = mark_docs(spark, sf)
-    C = experiments.Config
-    runs = [C("baseline count", vectorizer="count", at_least_one=False), C("atleast1 tf-idf"),
-            C("atleast1, balancing tf-idf 0.5", balancing_ratio=0.5),
-            C("full tf-idf 0.5", sublinear=True, stop_words="english", prune=True, balancing_ratio=0.5, class_weight="balanced")]
-    out = experiments.run_matrix(d, clean.load_vocabulary(d), runs, max_iter=20)
+    out = experiments.run_matrix(d, clean.load_vocabulary(d), runs)
     return out.withColumn("value", rnd("value", 6))
 
 
+@query("run_matrix")
+def run_matrix(spark, sf):
+    """The standard runs without synthetic records."""
+    return standard_runs(spark, sf, experiments.PLAIN_RUNS)
+
+
+@query("run_matrix_synthetic")
+def run_matrix_synthetic(spark, sf):
+    """The standard runs with synthetic records."""
+    return standard_runs(spark, sf, experiments.SYNTHETIC_RUNS)
+
+
 @query("run_binary")
 def run_binary(spark, sf):
     """One label with and without the keyword rule."""
     d = mark_docs(spark, sf)
     names, words = clean.load_vocabulary(d), ["the", "ing", "ther"]
-    plain = experiments.run_binary(d, "en", names, max_iter=20).withColumn("rule", F.lit("plain"))
-    boosted = experiments.run_binary(d, "en", names, words, max_iter=20).withColumn("rule", F.lit("boosted"))
+    plain = experiments.run_binary(d, "en", names).withColumn("rule", F.lit("plain"))
+    boosted = experiments.run_binary(d, "en", names, words).withColumn("rule", F.lit("boosted"))
     return plain.unionByName(boosted)
