@@ -1,9 +1,8 @@
 """Text features in long form ``(id, term, ...)`` and, for MLlib, as sparse rows.
 
-Counting terms of a text needs no shuffle of its own: texts are hash-partitioned by id once
-(smaller than their unfolded terms), and the counts, and the row norms after a broadcast of a
-small document-frequency table, stay inside that partitioning. When the frequency table is too
-large for Spark's broadcast threshold the same plan becomes a shuffle join on the term.
+A record is one row, so its terms are counted inside the row (sorted, then run lengths) and no
+text is ever shuffled. TF-IDF writes the counts once and reads them for the document
+frequencies and for the weights; the norms group the weights, not the texts, by id.
 """
 
 from __future__ import annotations
@@ -17,7 +16,7 @@ from pyspark.sql import types as T
 
 from tagloom.functions import text as tx
 from tagloom.operators.ranking import dense_position, keep_first
-from tagloom.session import scratch_path
+from tagloom.session import scratch_path, written
 
 VECTORIZERS = ("count", "tf-idf")
 
@@ -41,20 +40,29 @@ def terms_of(text: Column, ngram: tuple[int, int] = (1, 1),
     return found if ngram == (1, 1) else tx.ngrams(found, *ngram)
 
 
+def counted(df: DataFrame, terms: Column, name: str, count: str) -> DataFrame:
+    """(id, name, count): the distinct terms of every row with their numbers of occurrences,
+    without a shuffle. Rows without terms, or with null, give nothing."""
+    t = F.col("_t")
+    runs = df.select("id", F.sort_array(terms).alias("_t"))
+    starts = F.array_compact(F.transform(t, lambda x, i: F.when((i == 0) | (x != F.get(t, i - 1)), i)))
+    runs = runs.select("id", "_t", starts.alias("_s"))
+    s = F.col("_s")
+    ends = F.transform(s, lambda _, i: F.coalesce(F.get(s, i + 1), F.size(t)))
+    cells = F.zip_with(s, ends, lambda a, b: F.struct(F.get(t, a).alias(name), (b - a).cast("long").alias(count)))
+    return runs.select("id", F.inline(cells))
+
+
 def count_vectorize(df: DataFrame, ngram: tuple[int, int] = (1, 1),
                     stop_words: list[str] | str | None = None,
                     identifier: str = "id", column: str = "description") -> DataFrame:
-    """(id, term, tf). Every term is kept."""
-    placed = df.select(F.col(identifier).alias("id"), F.col(column).alias("_text")).repartition("id")
-    if ngram != (1, 1):
-        # Tokens first, as a column of their own, so that n-grams do not tokenize twice.
-        placed = placed.select("id", tx.tokens(F.col("_text"), stop_words).alias("_text"))
-        terms = tx.ngrams(F.col("_text"), *ngram)
-    else:
-        terms = tx.tokens(F.col("_text"), stop_words)
-    return placed.select("id", F.explode(terms).alias("term")).groupBy("id", "term").agg(
-        F.count(F.lit(1)).alias("tf")
-    )
+    """(id, term, tf), one row of ``df`` per id. Every term is kept."""
+    rows = df.select(F.col(identifier).alias("id"), F.col(column).alias("_text"))
+    if ngram == (1, 1):
+        return counted(rows, tx.tokens(F.col("_text"), stop_words), "term", "tf")
+    # Tokens first, as a column of their own, so that n-grams do not tokenize twice.
+    rows = rows.select("id", tx.tokens(F.col("_text"), stop_words).alias("_text"))
+    return counted(rows, tx.ngrams(F.col("_text"), *ngram), "term", "tf")
 
 
 def vocabulary(tf: DataFrame) -> DataFrame:
@@ -87,7 +95,7 @@ def weigh(tf: DataFrame, weights: DataFrame, sublinear: bool = False) -> DataFra
 def tfidf(df: DataFrame, sublinear: bool = False, stop_words: list[str] | str | None = None,
           ngram: tuple[int, int] = (1, 1), identifier: str = "id",
           column: str = "description") -> DataFrame:
-    tf = count_vectorize(df, ngram, stop_words, identifier, column)
+    tf = written(count_vectorize(df, ngram, stop_words, identifier, column), "counts")
     return weigh(tf, inverse_frequency(tf, df), sublinear)
 
 
@@ -150,12 +158,11 @@ def mean_embedding(df: DataFrame, vectors: DataFrame, size: int, identifier: str
     counted; zeros when there is none. Words are the whitespace split. Words are counted per
     text before the join, so a frequent word costs one row per text, and the mean is a
     partial-aggregable weighted sum."""
-    placed = df.select(F.col(identifier).alias("id"), F.col(column).alias("_text")).repartition("id")
-    counted = placed.select("id", F.explode(tx.words(F.col("_text"))).alias("word")) \
-        .groupBy("id", "word").agg(F.count(F.lit(1)).cast("double").alias("n"))
+    rows = df.select(F.col(identifier).alias("id"), F.col(column).alias("_text"))
+    words = counted(rows, tx.words(F.col("_text")), "word", "n").withColumn("n", F.col("n").cast("double"))
     # Measured faster than one plain sum per dimension, and its plan does not grow with the size.
     vecs = vectors.select("word", array_to_vector(F.col("vec").cast("array<double>")).alias("v"))
-    means = counted.join(vecs, "word").groupBy("id").agg(
+    means = words.join(vecs, "word").groupBy("id").agg(
         vector_to_array(Summarizer.mean(F.col("v"), F.col("n"))).alias("m")
     )
     zero = F.array_repeat(F.lit(0.0), size)
