@@ -75,10 +75,21 @@ def kernel(bits: np.ndarray, wide: np.ndarray, size: np.ndarray) -> np.ndarray:
     return (bits.astype(np.float32) @ wide) / (own[:, None] * np.maximum(size, 1))
 
 
-def train(texts: pa.Array, languages: list[str], s: Settings) -> Model:
+def packed_presence(text: Column) -> Column:
+    """``presence`` of whole texts, eight coordinates a byte."""
+    @F.arrow_udf("binary")
+    def pack(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            parts = [pa.array([b.tobytes() for b in np.packbits(presence(x), axis=1)], pa.binary()) for x in arrays.slices(batch, rows=1024)]
+            yield arrays.joined(parts, pa.binary())
+
+    return pack(text)
+
+
+def train(bits: np.ndarray, languages: list[str], s: Settings) -> Model:
+    """Weights from the rows of ``presence`` and their languages."""
     names = sorted(set(languages))
     label = np.array([names.index(x) for x in languages], np.int64)
-    bits = np.concatenate([presence(x) for x in arrays.slices(texts)]) if len(texts) else np.zeros((0, 1 << BITS), np.uint8)
     # Landmarks in turn from each language.
     turn = np.zeros(len(label), np.int64)
     for k in range(len(names)):
@@ -101,10 +112,13 @@ def fit(docs: DataFrame, lang: str = "lang", doc_id: str = "doc_id", text: str =
     rows = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"), F.col(lang).cast("string").alias("lang"))
     rows = rows.where("id is not null and lang is not null")
     some = rows.select("id", F.xxhash64("id").alias("h")).distinct().orderBy("h", "id").limit(s.max_rows)
-    # max_rows rows at most, so the sample may be sent to all executors; the driver gets their texts.
-    found = rows.join(F.broadcast(some), "id").where(has_letter(F.col("text"))).select("h", "id", F.lower("text").alias("text"), "lang").toArrow()
-    found = found.sort_by([(c, "ascending") for c in ("h", "id", "lang", "text")])
-    return train(found["text"].combine_chunks(), found["lang"].to_pylist(), s)
+    # max_rows ids at most, so they may be sent to all executors. The driver gets max_rows rows of 2 KB, however long their
+    # texts and however often an id repeats.
+    found = (rows.join(F.broadcast(some), "id").where(has_letter(F.col("text")))
+             .select("h", "id", "lang", packed_presence(F.lower("text")).alias("bits"))
+             .orderBy("h", "id", "lang", "bits").limit(s.max_rows).toArrow())
+    bits = np.unpackbits(np.frombuffer(b"".join(found["bits"].to_pylist()), np.uint8).reshape(-1, (1 << BITS) // 8), axis=1)
+    return train(bits, found["lang"].to_pylist(), s)
 
 
 def has_letter(text: Column) -> Column:

@@ -77,6 +77,14 @@ def test_language_edge_cases(spark):
     assert {r["p"]["lang"] for r in docs.select(langid.predict(F.col("text"), nothing).alias("p")).collect()} == {"und"}
 
 
+def test_language_sample_is_bounded_by_rows(spark):
+    docs = spark.createDataFrame([(1, f"the house {i} of the river", "en") for i in range(10, 50)] + [(2, "das haus und der fluss", "de")], "doc_id long, text string, lang string")
+    model = langid.fit(docs, settings=langid.Settings(max_rows=60, landmarks=64))
+    # Texts that differ in digits only have equal n-grams.
+    assert model.landmarks.shape[0] == 41 and len(np.unique(model.landmarks, axis=0)) == 2
+    assert langid.fit(docs, settings=langid.Settings(max_rows=8)).landmarks.shape[0] <= 8
+
+
 def test_kernel_counts_common_ngrams():
     texts = ["abcab", "bca", "xyz"]
 
