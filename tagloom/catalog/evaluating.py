@@ -10,6 +10,7 @@ from tagloom.catalog.tables import (DIGITS, binary_docs, cte, decided, doc_score
 from tagloom.functions import labels as lb
 from tagloom.functions import text as tx
 from tagloom.operators import decide, evaluate, ranking
+from tagloom.plans import reports
 from tagloom.session import scratch_path
 from tagloom.sources import csvfiles
 
@@ -115,14 +116,16 @@ def confusion_per_label(spark, sf):
 cte("report", f"select label as name, {PRECISION} as precision, {RECALL} as recall, {F1} as f1, tp + fn as support, tp, fp, fn from conf", "conf")
 
 
-@query("classification_report", f"""select name, {r('precision')} as precision, {r('recall')} as recall, {r('f1')} as f1, support from report
+cte("averages", f"""select name, {r('precision')} as precision, {r('recall')} as recall, {r('f1')} as f1, support from report
 union all select 'micro avg', {r(ratio('sum(tp)', 'sum(tp + fp)'))}, {r(ratio('sum(tp)', 'sum(tp + fn)'))},
   {r(ratio('2 * sum(tp)', 'sum(2 * tp + fp + fn)'))}, cast(sum(support) as bigint) from report
 union all select 'macro avg', {r('avg(precision)')}, {r('avg(recall)')}, {r('avg(f1)')}, cast(sum(support) as bigint) from report
 union all select 'weighted avg', {r('sum(precision * support) / sum(support)')}, {r('sum(recall * support) / sum(support)')},
   {r('sum(f1 * support) / sum(support)')}, cast(sum(support) as bigint) from report
-union all select 'samples avg', {r(SUMMARY['precision'])}, {r(SUMMARY['recall'])}, {r(SUMMARY['f1'])}, cast(sum(nt) as bigint) from rec""",
-       ("report", "rec"))
+union all select 'samples avg', {r(SUMMARY['precision'])}, {r(SUMMARY['recall'])}, {r(SUMMARY['f1'])}, cast(sum(nt) as bigint) from rec""", "report", "rec")
+
+
+@query("classification_report", "select * from averages", ("averages",))
 def classification_report(spark, sf):
     return rounded(evaluate.classification_report(order_scored(spark, sf), order_vocabulary(spark, sf)))
 
@@ -157,6 +160,26 @@ def score_by_label_support(spark, sf):
     return rounded(evaluate.score_by_label_support(order_scored(spark, sf), len(order_vocabulary(spark, sf))))
 
 
+@query("evaluation_report", f"""
+select 'whole' as section, null::varchar as name, m as metric, v as value from (
+  unpivot (select {', '.join(f"cast({r(e)} as double) as {m}" for m, e in SUMMARY.items())} from rec)
+  on {', '.join(SUMMARY)} into name m value v)
+union all select 'label', label, m, v from (
+  unpivot (select label, {r(BALANCED)} as balanced_accuracy, {r(PRECISION)} as precision, {r(RECALL)} as recall,
+    {r('(tp + fn) / (select sum(tp + fn) from conf)')} as share from conf)
+  on balanced_accuracy, precision, recall, share into name m value v)
+union all select 'predictions', label, 'n', cast(tp + fp as double) from conf
+union all select 'support', label, m, v from (
+  unpivot (select label, cast(count(*) as double) as support, {r('avg(jaccard)')} as score
+    from truth join (select id, {SCORES['jaccard']} as jaccard from rec) using (id) group by label)
+  on support, score into name m value v)
+union all select 'average', name, m, v from (
+  unpivot (select name, precision, recall, f1, cast(support as double) as support from averages)
+  on precision, recall, f1, support into name m value v)""", ("rec", "conf", "truth", "averages"))
+def evaluation_report(spark, sf):
+    return rounded(reports.evaluation_report(order_scored(spark, sf), order_vocabulary(spark, sf)))
+
+
 cte("bin_conf", """select count(*) filter (where y = 0 and p = 0) as tn, count(*) filter (where y = 0 and p = 1) as fp,
   count(*) filter (where y = 1 and p = 0) as fn, count(*) filter (where y = 1 and p = 1) as tp from bin""", "bin")
 ACCURACY = ratio("tp + tn", "tp + tn + fp + fn")

@@ -9,6 +9,7 @@ from tagloom.catalog.tables import (DIGITS, WS, cte, docs, items, order_labels,
                                     raw_records, rnd, sql_list, sql_tokens, sql_words)
 from tagloom.functions import text as tx
 from tagloom.operators import explore
+from tagloom.plans import reports
 
 STOP = sql_list(fixed.ENGLISH_STOP_WORDS)
 
@@ -100,6 +101,30 @@ def length_summary(spark, sf):
     return explore.length_summary(docs(spark, sf)).withColumn("mean", rnd("mean"))
 
 
+def bins_sql(title: str, length: str, bins: int, high: int) -> str:
+    width = high // bins
+    return f"""select '{title}', cast(b * {width} as varchar), 'n', cast(count(l.len) as double)
+from range({bins}) t(b) left join (select {length} as len from docs) l
+  on l.len between 0 and {high} and least(l.len // {width}, {bins - 1}) = b
+group by b"""
+
+
+@query("exploration_report", f"""
+select 'label' as section, label as name, 'n' as metric, cast(count(*) as double) as value from doc_labels group by label
+union all select 'label', label, 'share', round(count(*) / (select count(*) from doc_labels), {DIGITS}) from doc_labels group by label
+union all select * from (select 'combination', c, 'n', cast(count(*) as double) as n from (
+  select string_agg(label, ', ' order by label) as c from doc_labels group by id having count(*) > 1) group by c order by n desc, c limit 20)
+union all {bins_sql('words', f"len({sql_words('description')})", 75, 150)}
+union all {bins_sql('chars', 'length(description)', 500, 1000)}
+union all select 'length', null, m, v from (
+  unpivot (select round(avg(n), {DIGITS}) as mean, quantile_cont(cast(n as double), 0.25) as q1,
+    quantile_cont(cast(n as double), 0.5) as median, quantile_cont(cast(n as double), 0.75) as q3, cast(max(n) as double) as longest
+    from (select length(description) as n from docs))
+  on mean, q1, median, q3, longest into name m value v)""", ("docs", "doc_labels"))
+def exploration_report(spark, sf):
+    return reports.exploration_report(docs(spark, sf)).withColumn("value", rnd("value"))
+
+
 @query("text_lengths", f"""select id, cast(len({sql_words('description')}) as int) as words,
   cast(len(string_split(description, ' ')) as int) as parts, cast(length(description) as int) as chars from docs""", ("docs",))
 def text_lengths(spark, sf):

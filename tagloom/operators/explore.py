@@ -103,14 +103,18 @@ def text_length(column: Column, unit: str) -> Column:
 
 def length_histogram(df: DataFrame, unit: str = "word", column: str = "description") -> DataFrame:
     """(bin, low, n) for all bins; lengths out of range are dropped, the last bin is closed."""
-    bins, high = HISTOGRAMS[unit] if unit in HISTOGRAMS else (1, 1)
-    lengths = df.select(text_length(F.col(column), unit).alias("len"))
+    return histogram(df.select(text_length(F.col(column), unit).alias("len")), unit)
+
+
+def histogram(lengths: DataFrame, unit: str) -> DataFrame:
+    """The same of lengths already taken, as (len)."""
+    bins, high = HISTOGRAMS[unit]
     kept = lengths.filter(F.col("len").between(0, high))
     width = high // bins
     counts = kept.groupBy(
         F.least(F.floor(F.col("len") / width), F.lit(bins - 1)).cast("int").alias("bin")
     ).agg(F.count(F.lit(1)).alias("n"))
-    every = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
+    every = lengths.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
     return every.join(counts, "bin", "left").select(
         "bin", (F.col("bin") * width).alias("low"), F.coalesce("n", F.lit(0)).alias("n")
     )
@@ -119,8 +123,11 @@ def length_histogram(df: DataFrame, unit: str = "word", column: str = "descripti
 def length_summary(df: DataFrame, column: str = "description") -> DataFrame:
     """Mean, quartiles and maximum of the character count. Exact: the percentile state counts
     distinct lengths, which are few."""
-    n = tx.char_count(F.col(column))
-    return df.select(n.alias("len")).agg(
+    return summary(df.select(tx.char_count(F.col(column)).alias("len")))
+
+
+def summary(lengths: DataFrame) -> DataFrame:
+    return lengths.agg(
         F.avg("len").alias("mean"),
         F.percentile("len", 0.25).alias("q1"),
         F.percentile("len", 0.5).alias("median"),
