@@ -510,6 +510,42 @@ def bayes(spark, sf):
     return p.select("id", "label", (F.col("p") >= 0.5).cast("int").alias("hit"))
 
 
+cte("lang_folds", """select id, label, cast((rn - 1 + o1) % 5 as int) as fold from (
+  select id, label, row_number() over (partition by label order by md5(concat(cast(id as varchar), '42069'))) as rn,
+    cast(concat('0x', substr(md5(label), 1, 6)) as bigint) as o1 from lang_labels)""", "lang_labels")
+# f is the fold left out.
+cte("fold_counts", """select f, label, term, cast(sum(tf) as double) as c from tf join lang_folds using (id) join range(5) t(f) on f <> fold
+group by f, label, term""", "tf", "lang_folds")
+cte("fold_terms", "select f, term, sum(c) as c from fold_counts group by f, term", "fold_counts")
+cte("fold_weights", """select a.f, p.label, a.term,
+  ln((coalesce(t.c, 0.0) + 1.0) / (p.c + m.v)) - ln((a.c - coalesce(t.c, 0.0) + 1.0) / (m.c - p.c + m.v)) as w
+from fold_terms a
+join (select f, label, sum(c) as c from fold_counts group by f, label) p on p.f = a.f
+join (select f, count(*) as v, sum(c) as c from fold_terms group by f) m on m.f = a.f
+left join fold_counts t on t.f = a.f and t.label = p.label and t.term = a.term""", "fold_counts", "fold_terms")
+
+
+@query("out_of_fold_bayes", """select d.id, d.fold, v.label, cast(coalesce(s.s, 0.0) + v.prior >= 0 as int) as hit
+from lang_folds d
+join (select f, label, ln(n / (sum(n) over (partition by f) - n)) as prior from (
+  select f, label, cast(count(*) as double) as n from lang_folds join range(5) t(f) on f <> fold group by f, label)) v on v.f = d.fold
+left join (select id, w.label, sum(tf * w) as s from tf join lang_folds using (id) join fold_weights w on w.f = fold and w.term = tf.term
+  group by id, w.label) s on s.id = d.id and s.label = v.label""", ("lang_folds", "tf", "fold_weights"))
+def out_of_fold_bayes(spark, sf):
+    """Language of every document by naive Bayes on the four folds that it is not in."""
+    d = lang_docs(spark, sf)
+    names = clean.load_vocabulary(d)
+    tf = written(features.count_vectorize(d), "counts")
+
+    def fit_predict(train, test):
+        seen = tf.join(train.select("id", "labels"), "id").groupBy("labels", "term").agg(F.sum("tf").alias("tf"))
+        model = models.bayes_fit(seen, names)
+        return models.bayes_proba(tf.join(test.select("id"), "id", "left_semi"), test, model, models.bayes_priors(train, names), names)
+
+    p = split.out_of_fold(d.select("id", "labels"), fit_predict)
+    return p.select("id", "fold", "label", (F.col("p") >= 0.5).cast("int").alias("hit"))
+
+
 # --- experiments ----------------------------------------------------------------------------------
 
 def mark_docs(spark, sf):

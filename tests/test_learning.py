@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tagloom.operators import balance, explore, features, models, neighbours, similarity, split
 from tagloom.functions import text as tx
+from tagloom.plans import reports
 
 TEXTS = ["apple banana apple", "banana cherry", "apple date", "", "cherry cherry date fig"]
 
@@ -276,3 +277,32 @@ def test_runs_of_every_kind(spark, sf):
     out = run_matrix(d, names, runs, test=0.2, max_iter=5).collect()
     assert len(out) == len(runs) * len(METRICS)
     assert all(0 <= r["value"] <= 1 for r in out)
+
+
+def test_out_of_fold_predicts_every_record_unseen(spark):
+    df = spark.range(41).select("id", F.array(F.when(F.col("id") % 3 == 0, "a").otherwise("b")).alias("labels"))
+
+    def fit_predict(train, test):
+        known = [r["id"] for r in train.select("id").collect()]
+        return test.select("id", F.lit(len(known)).alias("n"), F.col("id").isin(known).alias("seen"))
+
+    got = split.out_of_fold(df, fit_predict, 4).collect()
+    assert sorted(r["id"] for r in got) == list(range(41))
+    assert not any(r["seen"] for r in got)
+    sizes = {r["fold"]: r["n"] for r in got}
+    assert len(sizes) == 4 and sum(41 - n for n in sizes.values()) == 41
+    with pytest.raises(ValueError):
+        split.out_of_fold(df, fit_predict, 1)
+
+
+def test_reports_hold_every_section(spark):
+    rows = spark.createDataFrame([(1, ["a", "b"], ["a"], "one two"), (2, ["b"], ["b"], "three"), (3, [], ["a"], None)],
+                                 "id long, y_true array<string>, y_pred array<string>, description string")
+    told = reports.evaluation_report(rows, ["a", "b"]).collect()
+    assert {r["section"] for r in told} == {"whole", "label", "predictions", "support", "average"}
+    assert {r["name"]: r["value"] for r in told if r["section"] == "predictions"} == {"a": 2.0, "b": 1.0}
+    seen = reports.exploration_report(rows.withColumnRenamed("y_true", "labels")).collect()
+    assert {(r["name"], r["value"]) for r in seen if r["section"] == "words" and r["value"]} == {("0", 1.0), ("2", 1.0)}
+    assert [r["value"] for r in seen if r["section"] == "combination"] == [1.0]
+    nothing = reports.exploration_report(rows.where("false").withColumnRenamed("y_true", "labels")).where("value > 0").collect()
+    assert nothing == []
