@@ -179,6 +179,27 @@ def test_search_equals_alignment_of_every_window():
     assert found == wanted and wanted
 
 
+def test_passages_of_long_items_count_wherever_they_begin():
+    rng = random.Random(8)
+    letters = "abcdefghijklmnop "
+    s = decontaminate.Settings()
+    item = "".join(rng.choices(letters, k=400))
+    index = decontaminate.Index([(1, item), (2, "".join(rng.choices(letters, k=700)))], s)
+    texts = []
+    for at in range(len(item) - s.window + 1):
+        passage = list(item[at : at + s.window])
+        for k in range(at % 4):
+            passage[20 + 30 * k] = "#"
+        texts.append("".join(rng.choices(letters, k=at % 90)) + "".join(passage) + "".join(rng.choices(letters, k=60)))
+    found = index.search(pa.array(texts, pa.large_string()))
+    assert [(r, item) for r, item, *_ in found] == [(at, 1) for at in range(len(texts))]
+    for r, _, start, end, e in found:
+        # Some window may save an edit at its edge by reading one character less or more.
+        assert e <= r % 4 and abs(start - r % 90) <= 40 and abs(end - r % 90 - s.window) <= 40
+    short = [item[at : at + 100] + "#" * 100 for at in range(0, 300, 7)]
+    assert index.search(pa.array(short, pa.large_string())) == []
+
+
 def test_decontamination_column(spark):
     passage = "What is the tallest mountain of the northern island, and which river runs from its glacier to the western sea? Answer briefly."
     bench = spark.createDataFrame([(1, passage), (1, passage), (2, None), (3, "short"), (None, passage)], "item_id long, text string")
