@@ -7,7 +7,8 @@ its q-grams inside a band of e + 1 diagonals. Per document: q-gram hits outside
 the rest are sorted by their place in the item in bands that overlap by half, the count slides over every start of a window,
 and windows that reach the bound are verified by banded alignment. Nothing is shuffled.
 
-Null and empty texts and items without a q-gram have no hits; a repeated item counts once per item id.
+Null and empty texts and items without a q-gram, fewer than q characters, have no hits; a window so short that edits could
+leave it no q-gram may have only as many as leave it one; a repeated item counts once per item id.
 """
 
 from __future__ import annotations
@@ -59,9 +60,6 @@ class Index:
         self.long = np.minimum(self.size, s.window)
         self.budget = self.edits_of(self.long)
         self.least = self.long + 1 - s.q - s.q * self.budget
-        sound = self.least > 0
-        items = [x for x, good in zip(items, sound) if good]
-        self.size, self.long, self.budget, self.least = (x[sound] for x in (self.size, self.long, self.budget, self.least))
         self.begin = np.cumsum(self.size) - self.size
         self.owner = np.repeat(np.arange(len(items), dtype=np.int32), self.size)
         place = np.arange(len(self.owner)) - self.begin[self.owner]
@@ -89,7 +87,8 @@ class Index:
         return np.lib.stride_tricks.sliding_window_view(self.flat, self.s.window)[self.start]
 
     def edits_of(self, m: np.ndarray) -> np.ndarray:
-        return (m * self.s.edits).astype(np.int64)
+        """Edits of a window of ``m`` characters: no more than leave it one of its q-grams, so a short one may have fewer."""
+        return np.minimum((m * self.s.edits).astype(np.int64), (m - self.s.q) // self.s.q)
 
     def search(self, texts: pa.Array) -> list[tuple[int, int, int, int, int]]:
         """(row, item, start, end, edits): the best window of each item found in each text, in characters of the text."""

@@ -200,6 +200,19 @@ def test_passages_of_long_items_count_wherever_they_begin():
     assert index.search(pa.array(short, pa.large_string())) == []
 
 
+def test_exact_copies_count_at_every_length():
+    rng = random.Random(9)
+    s = decontaminate.Settings()
+    items = [(n, "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=n))) for n in range(s.q, s.window + 1)]
+    index = decontaminate.Index(items, s)
+    texts = ["0123456789 0123 " + text + " 4567 89012345678" for _, text in items]
+    found = index.search(pa.array(texts, pa.large_string()))
+    assert [(r + s.q, item, e) for r, item, _, _, e in found] == [(n, n, 0) for n, _ in items]
+    # 28 characters may have one edit, as two could leave no q-gram.
+    one, two = (items[18][1][:k] + "#" + items[18][1][k + 1 :] for k in (5, 14))
+    assert [(r, e) for r, _, _, _, e in index.search(pa.array([one, two[:5] + "#" + two[6:]], pa.large_string()))] == [(0, 1)]
+
+
 def test_decontamination_column(spark):
     passage = "What is the tallest mountain of the northern island, and which river runs from its glacier to the western sea? Answer briefly."
     bench = spark.createDataFrame([(1, passage), (1, passage), (2, None), (3, "short"), (None, passage)], "item_id long, text string")
