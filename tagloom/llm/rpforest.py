@@ -3,8 +3,9 @@
 Trees are fitted on a bounded sample: each node cuts at the median projection on the line through two sample points. Every
 vector is then indexed: one row per tree in its leaf. A query walks all trees through one priority queue ordered by the
 largest margin crossed so far, and takes leaves until they hold ``probe`` times the number of indexed vectors (a vector
-counts once per tree). Leaves are compared with the queries that take them by one matrix product per block; the best rows
-of each block are scored again on the original vectors in double precision, and the best of all blocks are the result.
+counts once per tree). Leaves and the queries that take them are cut into blocks of bounded size, which are compared by
+matrix products; the best rows of each block are scored again on the original vectors in double precision, in slices, and
+the best of all blocks are the result.
 
 Nearness is cosine; ties go to the smaller id. Vectors that are null, zero, of another length than the most frequent one,
 or that hold null or non-finite components take no part. Repeated rows of an id are candidates once. Ids are long integers.
@@ -25,12 +26,15 @@ from pyspark.sql import functions as F
 from tagloom.session import written
 
 
+CELLS = 1 << 20  # of the matrices of pairs, and of pairs of vectors, held at once
+
+
 @dataclass(frozen=True)
 class Settings:
     """probe 1.0 over 16 trees looks at three fifths of the vectors; on the given embeddings, which are nearly without
     structure, that finds 0.93 to 0.99 of the true neighbours. sample bounds the vectors that trees are fitted on, and with
     it their depth: leaves hold about ``leaf`` vectors until the sample is too small for a further cut. block bounds the
-    vectors of a leaf that one task compares at once."""
+    vectors of a leaf, and the queries that take it, that one task compares at once."""
 
     trees: int = 16
     probe: float = 1.0
@@ -126,6 +130,47 @@ def packed(dim: int):
     return pack
 
 
+def dealt(index: DataFrame, asked: DataFrame, sizes: np.ndarray, takers: np.ndarray, block: int) -> tuple[DataFrame, DataFrame]:
+    """Both sides with ``block``, of the vectors of a leaf, and ``part``, of the queries that take it: a crowded leaf is
+    dealt out to as many blocks as it fills, and its queries to as many parts; every block meets every part."""
+    for name, counts, own, other, key in (("block", sizes, "index", "asked", "id"), ("part", takers, "asked", "index", "q")):
+        sides = {"index": index, "asked": asked}
+        blocks = np.maximum(-(-counts // block), 1)
+        if blocks.max() > 1:
+            many = F.array(*(F.array(*map(F.lit, map(int, b))) for b in blocks))[F.col("tree")][F.col("leaf")]
+            sides[own] = sides[own].withColumn(name, F.pmod(F.xxhash64(key), many).cast("int"))
+            sides[other] = sides[other].withColumn(name, F.explode(F.sequence(F.lit(0), many - 1)))
+        else:
+            sides = {side: df.withColumn(name, F.lit(0)) for side, df in sides.items()}
+        index, asked = sides["index"], sides["asked"]
+    return index, asked
+
+
+def compare(points: pd.DataFrame, queries: pd.DataFrame, k: int, dim: int) -> pd.DataFrame:
+    """(q, id, score): the ``k`` nearest points of each query."""
+    out = [pd.DataFrame({"q": np.zeros(0, np.int64), "id": np.zeros(0, np.int64), "score": np.zeros(0)})]
+    # Of equal vectors none but the k smallest ids can be among the best, one more as a query is not its own neighbour.
+    points = points.sort_values("id", ignore_index=True)
+    points = points[points.groupby("v").cumcount() <= k]
+    x, ids, qs = matrix(points["v"], dim), points["id"].to_numpy(), queries["q"].to_numpy()
+    q, ux = matrix(queries["qv"], dim), units(x).T
+    keep = min(k, len(ids))
+    rows, pairs = max(1, CELLS // max(len(ids), 1)), max(1, CELLS // dim)
+    for at in range(0, len(qs) if keep else 0, rows):
+        some = slice(at, at + rows)
+        near = units(q[some]) @ ux
+        near[qs[some, None] == ids[None]] = -np.inf
+        last = np.partition(near, len(ids) - keep, axis=1)[:, len(ids) - keep]
+        # All that tie with the last up to rounding, then exactly.
+        i, j = np.nonzero((near >= last[:, None] - 1e-9) & (near > -np.inf))
+        score = np.concatenate([np.zeros(0), *(cosine(q[at + i[n : n + pairs]], x[j[n : n + pairs]]) for n in range(0, len(i), pairs))])
+        order = np.lexsort((ids[j], -score, i))
+        i, j, score = i[order], j[order], score[order]
+        place = np.arange(len(i)) - np.searchsorted(i, i)
+        out.append(pd.DataFrame({"q": qs[at + i], "id": ids[j], "score": score})[place < k])
+    return pd.concat(out, ignore_index=True)
+
+
 def search(vectors: DataFrame, query: str, k: int = 5, vec_id: str = "vec_id", vector: str = "embedding", settings: Settings | None = None) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` nearest found of each vector for whose id the SQL condition ``query`` on
     the column id holds; all other vectors are candidates. A query with fewer candidates gets them all."""
@@ -157,44 +202,25 @@ def search(vectors: DataFrame, query: str, k: int = 5, vec_id: str = "vec_id", v
     for r in placed.select(F.posexplode("leaves").alias("tree", "leaf")).groupBy("tree", "leaf").count().collect():
         sizes[r["tree"], r["leaf"]] = r["count"]
     wanted = max(s.probe * n, (k + 1) * s.trees)
-    blocks = -(-sizes // s.block)
-    shared = spark.sparkContext.broadcast((sizes, blocks))
+    shared = spark.sparkContext.broadcast(sizes)
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sizes, blocks = shared.value
         for batch in batches:
-            raw = batch.column("v").to_pylist()
-            vecs = units(matrix(raw, dim)).astype(np.float32)
-            for one, vec, x in zip(batch.column("id").to_pylist(), raw, vecs):
-                places = [(t, leaf, b) for t, leaf in forest.value.probes(x, sizes, wanted) for b in range(blocks[t, leaf])]
-                columns = [pa.array(c, pa.int32()) for c in zip(*places)]
-                yield pa.RecordBatch.from_arrays([pa.array([one] * len(places)), pa.array([vec] * len(places), pa.binary()), *columns], ["q", "qv", "tree", "leaf", "block"])
-
-    asked = rows.where(query).mapInArrow(probe, "q long, qv binary, tree int, leaf int, block int")
-    # A crowded leaf is dealt out to as many blocks as it fills.
-    many = F.array(*(F.array(*map(F.lit, map(int, b))) for b in blocks))
-    index = index.withColumn("block", F.pmod(F.xxhash64("id"), F.greatest(F.lit(1), many[F.col("tree")][F.col("leaf")])).cast("int")) if blocks.max() > 1 else index.withColumn("block", F.lit(0))
-
-    def compare(key, points: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
-        if not len(points) or not len(queries):
-            return pd.DataFrame({"q": np.zeros(0, np.int64), "id": np.zeros(0, np.int64), "score": np.zeros(0)})
-        points = points.sort_values("id", ignore_index=True)
-        x, ids, qs = matrix(points["v"], dim), points["id"].to_numpy(), queries["q"].to_numpy()
-        q = matrix(queries["qv"], dim)
-        near = units(q) @ units(x).T
-        near[qs[:, None] == ids[None]] = -np.inf
-        keep = min(k, len(ids))
-        last = np.partition(near, len(ids) - keep, axis=1)[:, len(ids) - keep]
-        # All that tie with the last up to rounding, then exactly.
-        i, j = np.nonzero((near >= last[:, None] - 1e-9) & (near > -np.inf))
-        score = cosine(q[i], x[j])
-        order = np.lexsort((ids[j], -score, i))
-        i, j, score = i[order], j[order], score[order]
-        place = np.arange(len(i)) - np.searchsorted(i, i)
-        return pd.DataFrame({"q": qs[i], "id": ids[j], "score": score})[place < k]
-
-    found = (index.groupBy("tree", "leaf", "block").cogroup(asked.groupBy("tree", "leaf", "block"))
-             .applyInPandas(compare, "q long, id long, score double"))
+            vecs = units(matrix(batch.column("v").to_pylist(), dim)).astype(np.float32)
+            places = [[{"tree": t, "leaf": leaf} for t, leaf in forest.value.probes(x, shared.value, wanted)] for x in vecs]
+            kind = pa.list_(pa.struct([("tree", pa.int32()), ("leaf", pa.int32())]))
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("v"), pa.array(places, kind)], ["q", "qv", "places"])
+
+    asked = written(rows.where(query).mapInArrow(probe, "q long, qv binary, places array<struct<tree:int,leaf:int>>"), "asked")
+    asked = asked.select("q", "qv", F.inline("places"))
+    # One row per leaf again.
+    takers = np.zeros_like(sizes)
+    for r in asked.groupBy("tree", "leaf").count().collect():
+        takers[r["tree"], r["leaf"]] = r["count"]
+    index, asked = dealt(index, asked, sizes, takers, s.block)
+    by = ["tree", "leaf", "block", "part"]
+    found = (index.groupBy(*by).cogroup(asked.groupBy(*by))
+             .applyInPandas(lambda key, points, queries: compare(points, queries, k, dim), "q long, id long, score double"))
     # The same candidate comes from several trees; k per query remain, so one array holds them.
     top = found.groupBy("q").agg(F.collect_set(F.struct((-F.col("score")).alias("far"), F.col("id").alias("id"))).alias("all"))
     top = top.select("q", F.posexplode(F.slice(F.array_sort("all"), 1, k)).alias("rank", "x"))

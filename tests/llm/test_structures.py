@@ -4,9 +4,11 @@ import hashlib
 import html
 import random
 import re
+import tracemalloc
 
 import duckdb
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -201,6 +203,35 @@ def test_crowded_leaf_is_dealt_out(spark):
     assert [r["vec_id"] for r in got] == [0, 1, 2, 3, 4]
 
 
+def test_queries_of_a_crowded_leaf_are_dealt_out(spark):
+    index = spark.range(300).selectExpr("id", "cast('' as binary) as v", "0 as tree", "cast(id % 2 as int) as leaf")
+    asked = spark.range(1000).selectExpr("id as q", "cast('' as binary) as qv", "0 as tree", "if(id < 990, 0, 1) as leaf")
+    index, asked = rpforest.dealt(index, asked, np.array([[150, 150]]), np.array([[990, 10]]), 100)
+    for side in (index, asked):
+        assert max(r["count"] for r in side.groupBy("tree", "leaf", "block", "part").count().collect()) <= 200
+    met = index.join(asked, ["tree", "leaf", "block", "part"]).groupBy("id", "q").count()
+    assert met.count() == 150 * 990 + 150 * 10 and met.where("count > 1").count() == 0
+
+
+def test_many_tied_vectors_are_compared_in_slices():
+    def frame(name, v, vectors):
+        return pd.DataFrame({name: np.arange(len(vectors)), v: [x.tobytes() for x in vectors]})
+
+    one = np.arange(1.0, 65.0)
+    for scale in (np.ones(1500), np.arange(1, 1501)):  # equal vectors, and such as only point the same way
+        x = scale[:, None] * one
+        tracemalloc.start()
+        got = rpforest.compare(frame("id", "v", x), frame("q", "qv", x[:1000]), 5, 64)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < 200 << 20
+        assert len(got) == 5000
+        if scale[1] == 1:
+            assert got.groupby("q")["id"].apply(list).tolist() == [[i for i in range(6) if i != q][:5] for q in range(1000)]
+    assert not len(rpforest.compare(frame("id", "v", x[:1]), frame("q", "qv", x[:1]), 5, 64))
+    assert not len(rpforest.compare(frame("id", "v", x[:0]), frame("q", "qv", x[:1]), 5, 64))
+
+
 # --- pipeline ------------------------------------------------------------------------------------------------------
 
 
