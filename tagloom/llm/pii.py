@@ -2,7 +2,8 @@
 
 Column expressions only. Base kinds are email, ip, card (Luhn) and phone; they always stay. Added kinds are iban (mod-97),
 tel (a national phone number) and ssn, the last two only where a context word before them lifts their score to the
-threshold. Positions count code points, end exclusive. Null texts read as empty; an empty text has no span.
+threshold. An iban has the length of its country, so what follows it is no part of it. Positions count code points, end
+exclusive. Null texts read as empty; an empty text has no span.
 
 Patterns are written so that each is linear in the text: possessive repeats, and no match tried from the middle of a run
 that its beginning has already ruled out.
@@ -22,22 +23,32 @@ SPAN = "array<struct<start:int,kind:int,end:int,name:string,score:double>>"
 @dataclass(frozen=True)
 class Kind:
     """pattern: Java regular expression. hint: cheap test that every text with a match passes. score: of a span that
-    passes its check. context: regular expression for words within ``NEAR`` characters before, each worth ``LIFT``."""
+    passes its check. context: regular expression for words within ``NEAR`` characters before, each worth ``LIFT``. ahead:
+    the span is group 1, which the match looks ahead at, so that a span that fails its check hides none that begins in it."""
 
     name: str
     pattern: str
     hint: str
     score: float = 1.0
     context: str | None = None
+    ahead: bool = False
 
 
+# Characters of an account code behind its first four, by country.
+IBAN = {11: "NO", 12: "BE", 14: "DK FI FK FO GL NL SD", 15: "MK SI", 16: "AT BA EE KZ LT LU MN XK", 17: "CH HR LI LV",
+        18: "BG BH CR DE GB GE IE ME RS VA", 19: "AE GI IL IQ OM SO TL", 20: "AD CZ ES MD PK RO SA SE SK TN VG",
+        21: "AO CV GW LY MZ PT ST", 22: "DZ IR IS TR", 23: "BI CF CG CM DJ FR GA GQ GR IT KM MC MG MR SM TD",
+        24: "AL AZ BF BJ BY CI CY DO GT HN HU LB MA ML NE NI PL SN SV TG", 25: "BR EG PS QA UA", 26: "JO KW MU YE", 27: "MT SC",
+        28: "LC", 29: "RU"}
+CODE = "|".join(f"(?:{names.replace(' ', '|')})[0-9]{{2}}(?: ?[A-Z0-9]){{{n}}}" for n, names in IBAN.items())
+
 BASE = ("email", "ip", "card", "phone")
 KINDS = (
     Kind("email", rf"(?:\G|(?<!{LOCAL})){LOCAL}++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++", "@"),
     Kind("ip", r"(?:\G|(?<![0-9]))[0-9]++(?:\.[0-9]++){3}", r"[0-9]\.[0-9]"),
     Kind("card", r"(?<![0-9])(?<![0-9][ -])[0-9](?:[ -]?[0-9]){13,18}(?![ -]?[0-9])", r"[0-9][ -]?[0-9]"),
     Kind("phone", r"\+[0-9][\x20().0-9-]+[0-9]", r"\+[0-9]"),
-    Kind("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])", r"[A-Z]{2}[0-9]{2}"),
+    Kind("iban", rf"(?<![A-Za-z0-9])(?=((?:{CODE})(?![A-Za-z0-9])))[A-Z]{{2}}[0-9]{{2}}", r"[A-Z]{2}[0-9]{2}", ahead=True),
     Kind("tel", r"(?<![0-9+])\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9])", r"[0-9]{3}[ .-][0-9]{4}", 0.3, r"phone|tel|call|mobile|fax"),
     Kind("ssn", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", r"[0-9]-[0-9]{2}-[0-9]", 0.3, r"ssn|social security"),
 )
@@ -95,6 +106,9 @@ def proposed(text: Column, number: int, kind: Kind) -> Column:
             (acc["at"] + x["before"] + x["long"]).alias("at"),
             F.concat(acc["out"], F.array(F.struct((acc["at"] + x["before"]).alias("start"), (acc["at"] + x["before"] + x["long"]).alias("end"), x["match"].alias("match")))).alias("out")),
         lambda acc: acc["out"])
+    if kind.ahead:
+        whole = F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(1))
+        placed = F.zip_with(placed, whole, lambda x, m: F.struct(x["start"].alias("start"), (x["start"] + F.length(m)).alias("end"), m.alias("match")))
     good = F.filter(placed, lambda x: confirmed(kind.name, x["match"]))
 
     def scored(x: Column) -> Column:

@@ -114,6 +114,16 @@ def test_added_kinds_and_masking(spark):
     assert pii.find(spark.createDataFrame([], "text string")).count() == 0
 
 
+def test_account_codes_end_where_their_country_says(spark):
+    texts = {"IBAN DE89 3704 0044 0532 0130 00 BIC COBADEFFXXX": "IBAN [IBAN] BIC COBADEFFXXX", "GB82 WEST 1234 5698 7654 32 I will": "[IBAN] I will",
+             "DE89370400440532013000 2024": "[IBAN] 2024", "DE89 3704 0044 0532 0130 00 GB82 WEST 1234 5698 7654 32": "[IBAN] [IBAN]",
+             "BE12 DE89 3704 0044 0532 0130 00 X": "BE12 [IBAN] X", "é NO93 8601 1117 947, MT84 MALT 0110 0001 2345 MTLC AST0 01S 7": "é [IBAN], [IBAN] 7",
+             "DE89 3704 0044 0532 0130 01 BIC": "DE89 3704 0044 0532 0130 01 BIC", "DE89370400440532013000X": "DE89370400440532013000X",
+             "XDE89370400440532013000": "XDE89370400440532013000"}
+    rows = pii.find(spark.createDataFrame([(t,) for t in texts], "text string")).withColumn("m", pii.masked(F.col("text"), F.col("pii"))).collect()
+    assert {r["text"]: r["m"] for r in rows} == texts
+
+
 # --- main text -----------------------------------------------------------------------------------------------------
 
 
