@@ -31,6 +31,8 @@ BLOCK = frozenset("""address article aside blockquote body button caption center
 figure footer form h1 h2 h3 h4 h5 h6 head header hr html label legend li main menu nav ol option p pre section summary table
 tbody td tfoot th thead title tr ul""".split())
 HIDDEN = frozenset("head title script style template noscript svg iframe object textarea select canvas audio video math".split())
+# An open head ends where anything else begins, as its end tag and the tags of the body may be left out.
+IN_HEAD = frozenset("base basefont bgsound head html link meta noscript script style template title".split())
 RAW = "script|style|textarea|title|iframe|noscript|template"
 # A new element of the key closes an open one of the value that no other container stands before.
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
@@ -62,6 +64,8 @@ class Reader:
         for m in TOKEN.finditer(page):
             text = m["text"]
             if text is not None:
+                if self.open["head"] and text.strip():
+                    self.close("head")
                 if not self.hidden:
                     text = html.unescape(text) if "&" in text else text
                     self.parts.append(text)
@@ -78,6 +82,8 @@ class Reader:
         return self.blocks
 
     def start(self, tag: str, rest: str) -> None:
+        if self.open["head"] and tag not in IN_HEAD:
+            self.close("head")
         if tag in BLOCK:
             self.flush()
             if tag in CLOSING_P and self.open["p"]:

@@ -150,6 +150,15 @@ def test_other_layouts(page_model):
         assert page_model.main_text(page) == wanted
 
 
+def test_pages_that_leave_tags_out(page_model):
+    story = "<p>First long paragraph of the story, told here.</p><p>Second one, with more words in it.</p>"
+    wanted = "First long paragraph of the story, told here.\nSecond one, with more words in it."
+    for head in ("<head><meta charset=utf-8><title>no</title><script>no</script><style>no</style><link rel=x>", "<head>", "<head><title>no</title></head>"):
+        for body, end in (("<body>", "</body>"), ("<body class='x'>", ""), ("", "")):
+            assert page_model.main_text(f"<!doctype html><html>{head}\n{body}<article>{story}</article>{end}") == wanted
+    assert [t for t, _ in htmlcrf.Reader().read("<html><head><title>no</title>\n Words at once <b>and more</b>")] == ["Words at once and more"]
+
+
 def test_odd_pages(spark, page_model):
     assert page_model.main_text(None) == page_model.main_text("") == ""
     for page in ("<", "<p", "<a b='", "</p></div>", "<!-- x", "<script>", "<p><b>x<p>y", "&#xD800;&copy", "<div>" * 5000, "<a '" * 20000, "<br/><br>", "a<b"):
