@@ -162,7 +162,7 @@ def text_features(text: str, linked: int) -> list[str]:
         out.append("sentence")
     if "©" in text:
         out.append("copyright")
-    if not any(c.isalpha() for c in text[:200]):
+    if not any(c.isalpha() for c in text):
         out.append("letterless")
     return out
 

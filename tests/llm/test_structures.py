@@ -159,6 +159,11 @@ def test_pages_that_leave_tags_out(page_model):
     assert [t for t, _ in htmlcrf.Reader().read("<html><head><title>no</title>\n Words at once <b>and more</b>")] == ["Words at once and more"]
 
 
+def test_letters_count_wherever_they_stand():
+    assert "letterless" in htmlcrf.text_features("12 " * 200, 0)
+    assert "letterless" not in htmlcrf.text_features("12 " * 200 + "and words", 0)
+
+
 def test_odd_pages(spark, page_model):
     assert page_model.main_text(None) == page_model.main_text("") == ""
     for page in ("<", "<p", "<a b='", "</p></div>", "<!-- x", "<script>", "<p><b>x<p>y", "&#xD800;&copy", "<div>" * 5000, "<a '" * 20000, "<br/><br>", "a<b"):
