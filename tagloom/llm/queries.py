@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagloom.llm import chat, decontaminate, htmlcrf, langid, pii, piecebpe, probminhash, rpforest, toxicity, urlfilter
+from tagloom.llm import (chat, decontaminate, filteraudit, htmlcrf, langid, packedids, pii, piecebpe, probminhash, rpforest, toxicity,
+                         urlfilter, whitening)
 from tagloom.llm.common import held_out, table
+from tagloom.session import scratch_path
 
 # A document is rejected from this score on.
 TOXIC = 0.3
@@ -158,3 +160,52 @@ def op8_html_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     done = pages.select("page_id", "url", htmlcrf.extract("html", htmlcrf.fit(pages)).alias("text"))
     return done.withColumn("n_chars", F.length("text").cast("long"))
+
+
+@query
+def op11_packed_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place and checksum of the ids of every document, read back from packed shards."""
+    import public_tokenizers
+
+    path = scratch_path(spark, "token-ids")
+    packedids.write(table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+    back = packedids.with_checksum(packedids.read(spark, path))
+    return back.select("doc_id", "start", F.size("ids").cast("long").alias("n_tokens"), "ids_crc32")
+
+
+@query
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What five filters remove in every order, by source."""
+    return filteraudit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+ORACLES["op12_filter_audit"] = r"""with base as (select doc_id, coalesce(source, '') as part, coalesce(text, '') as t from documents),
+seen as (select t, min(doc_id) as first from base group by t),
+lab as (select doc_id, max(case when quality = 1 then 1 else 0 end) as good, max(case when toxic = 1 then 1 else 0 end) as bad from labels group by doc_id),
+split as (select doc_id, part, t, first, regexp_extract_all(t, '[^\x20\x09-\x0D]+') as w from base join seen using (t)),
+failed as (select doc_id, part, concat(
+  case when len(w) < 50 then 'A' else '' end, case when 100 * len(list_distinct(w)) < 65 * len(w) then 'B' else '' end,
+  case when 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 5 * length(t) then 'C' else '' end,
+  case when regexp_matches(t, '[#$%&*|]') then 'D' else '' end, case when doc_id > first then 'E' else '' end) as fails from split),
+kinds as (select part, fails, count(*) as n, count(*) filter (good = 1) as g, count(*) filter (bad = 1) as x
+  from failed left join lab using (doc_id) group by part, fails),
+letters as (select unnest(['A', 'B', 'C', 'D', 'E']) as l),
+orders as (select concat(a.l, b.l, c.l, d.l, e.l) as filter_order from letters a join letters b on b.l <> a.l join letters c on c.l not in (a.l, b.l)
+  join letters d on d.l not in (a.l, b.l, c.l) join letters e on e.l not in (a.l, b.l, c.l, d.l)),
+steps as (select filter_order, cast(s as int) as step, substr(filter_order, s, 1) as f, substr(filter_order, 1, s - 1) as before
+  from orders cross join range(1, 6) r(s)),
+states as (select *, contains(fails, f) as hit,
+  len(list_filter(string_split(fails, ''), lambda c: c <> '' and contains(before, c))) > 0 as gone from kinds cross join steps),
+counted as (select part, filter_order, step, f, coalesce(sum(n) filter (not gone and not hit), 0)::bigint as kept,
+  coalesce(sum(n) filter (not gone and hit), 0)::bigint as removed, coalesce(sum(n) filter (gone and hit), 0)::bigint as redundant,
+  coalesce(sum(n) filter (fails = f), 0)::bigint as unique_fails, coalesce(sum(g) filter (not gone and hit), 0)::bigint as good_lost,
+  coalesce(sum(x) filter (not gone and hit), 0)::bigint as toxic_lost from states group by part, filter_order, step, f)
+select * exclude (f), sum(removed) over (partition by part, f)::bigint as shapley from counted"""
+
+
+@query
+def op13_contour_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whitened coordinates of every vector. A deviation that no long can hold is null; the operator gives it as a decimal."""
+    done = whitening.whiten(table(spark, sf_dir, "embeddings"), "vec_id")
+    return done.select(F.col("id").alias("vec_id"), "component", "n", F.col("deviation").try_cast("long").alias("deviation"),
+                       "whitened", "explained", "identity_error")
