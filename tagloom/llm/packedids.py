@@ -42,7 +42,7 @@ BLOCK = 128
 PERCENTILE = 0.9
 SHARD_TOKENS = 1 << 26
 READ_TOKENS = 1 << 20  # ids unpacked at once by a reader
-ENCODE_BYTES = 2 << 20
+ENCODE_BYTES = 4 << 20
 HEAD = 7  # bytes before the packed differences of a block
 
 
@@ -329,41 +329,131 @@ class PackedIds(DataSource):
 
 # --- tokens ---------------------------------------------------------------------------------
 
-@lru_cache(maxsize=2)
-def tokenizer(model_file: str):
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallel part
-    from tokenizers import Tokenizer
-
-    found = Tokenizer.from_file(model_file)
-    parts = ["ab", "c1.", "'s", "é"]
-    each = [i for x in parts for i in found.encode(x, add_special_tokens=False).ids]
-    if any(found.encode(blank.join(parts), add_special_tokens=False).ids != each for blank in (" ", "\n", "\t\r\n  ")):
-        raise ValueError(f"{model_file}: texts of this tokenizer cannot be cut at blanks")
-    return found
-
-
 # The white space at which a text may be cut: no word, composed character or special token of the tokenizer spans it.
 NOT_BLANK = np.ones(256, bool)
 NOT_BLANK[[9, 10, 11, 12, 13, 32]] = False
+# Bytes of words that may be cut further, where a letter meets a sign: ASCII letters, the two bytes of the letters U+00C0 to
+# U+00FF, and ASCII signs that begin no contraction and no special token.
+LETTERS = np.zeros(256, bool)
+LETTERS[[*range(65, 91), *range(97, 123)]] = True
+SIGNS = np.zeros(256, bool)
+SIGNS[[x for x in range(33, 127) if not chr(x).isalnum() and chr(x) not in "'|<>"]] = True
+GROUP = 128  # pieces that go to the library as one text
+CACHED = 1 << 19
+
+
+class Pieces:
+    """A tokenizer and the ids of the pieces met so far: the first CACHED ones, which hold the frequent ones."""
+
+    def __init__(self, model_file: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallel part
+        from tokenizers import Tokenizer
+
+        self.library = Tokenizer.from_file(model_file)
+        suffix = getattr(self.library.model, "end_of_word_suffix", None)
+        names = self.library.get_vocab(with_added_tokens=True)
+        self.ends = np.zeros(max(names.values(), default=-1) + 1, bool)
+        self.ends[[i for name, i in names.items() if suffix and name.endswith(suffix)]] = True
+        parts = ["ab", ".", "c", "-,", "é", "\u00df", "1", "'s"]
+        each = [i for x in parts for i in self.whole([x])[0]]
+        joined = [self.whole([blank.join(parts)])[0] for blank in (" ", "\n", "\t\r\n  ")]
+        if not suffix or any(x != each for x in joined) or self.whole(["ab.c-,\u00e9"])[0] != self.whole(["ab . c -, \u00e9"])[0]:
+            raise ValueError(f"{model_file}: texts of this tokenizer cannot be cut at blanks and signs")
+        self.known: dict[str, int] = {}
+        self.flat, self.used = np.zeros(1 << 16, np.int32), 0
+        self.start, self.count = np.zeros(CACHED, np.int64), np.zeros(CACHED, np.int32)
+
+    def whole(self, texts: list[str]) -> list[list[int]]:
+        return [x.ids for x in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def encode(self, pieces: list[str], single: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids on end and their number per piece. A ``single`` piece is one word to the library, so many go to it as one text
+        and every id that ends a word ends a piece."""
+        plain, other = pieces, []
+        if not single.all():
+            plain = [pieces[i] for i in np.flatnonzero(single)]
+            other = [pieces[i] for i in np.flatnonzero(~single)]
+        lists = self.whole([" ".join(plain[i : i + GROUP]) for i in range(0, len(plain), GROUP)])
+        ids = np.concatenate([np.zeros(0, np.int32), *(np.array(x, np.int32) for x in lists)])
+        stops = np.flatnonzero(self.ends[ids]) + 1
+        if len(stops) != len(plain):
+            raise ValueError("a piece was not one word")
+        if not other:
+            return ids, np.diff(stops, prepend=0)
+        rest = self.whole(other)
+        counts = np.empty(len(pieces), np.int64)
+        counts[single], counts[~single] = np.diff(stops, prepend=0), [len(x) for x in rest]
+        out, of = np.empty(int(counts.sum()), np.int32), np.repeat(single, counts)
+        out[of], out[~of] = ids, [i for x in rest for i in x]
+        return out, counts
+
+    def look_up(self, pieces: list[str], single: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids on end and their number per piece, from the known pieces and the library."""
+        place = np.fromiter((self.known.get(x, -1) for x in pieces), np.int64, len(pieces))
+        new = np.flatnonzero(place < 0)
+        ids, many = self.encode([pieces[i] for i in new], single[new])
+        start, count = np.empty(len(pieces), np.int64), np.empty(len(pieces), np.int64)
+        old = place >= 0
+        start[old], count[old] = self.start[place[old]], self.count[place[old]]
+        start[new], count[new] = self.used + np.cumsum(many) - many, many
+        source = np.concatenate([self.flat[: self.used], ids])
+        if (room := min(len(new), CACHED - len(self.known))) > 0:
+            at = len(self.known)
+            self.known.update((pieces[i], at + k) for k, i in enumerate(new[:room].tolist()))
+            self.start[at : at + room], self.count[at : at + room] = start[new[:room]], many[:room]
+            self.flat, self.used = source, self.used + int(many[:room].sum())
+        done = np.cumsum(count)
+        step = np.arange(int(done[-1]) if len(done) else 0) - np.repeat(done - count, count)
+        return source[np.repeat(start, count) + step], count
+
+
+@lru_cache(maxsize=2)
+def tokenizer(model_file: str) -> Pieces:
+    return Pieces(model_file)
+
+
+def cut(raw: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end, text and whether it is one word of every piece. Pieces are the runs between blanks, and of runs that hold
+    letters and signs only, the runs of either."""
+    starts, stops, which = arrays.words(raw, ends, NOT_BLANK)
+    latin = np.zeros(len(raw) + 1, bool)
+    latin[1:-1] = (raw[:-1] == 0xC3) & (raw[1:] != 0x97) & (raw[1:] != 0xB7)  # second bytes; the two left out are signs
+    letter = LETTERS[raw] | latin[:-1] | latin[1:]
+    sign = SIGNS[raw]
+    strange = np.concatenate([[0], np.cumsum(~letter & ~sign)])
+    plain = strange[stops] == strange[starts]
+    change = np.flatnonzero(sign[1:] != sign[:-1]) + 1
+    run = np.searchsorted(starts, change, "right") - 1
+    inside = (run >= 0) & (change < stops[run]) & (change > starts[run]) if len(starts) else np.zeros(len(change), bool)
+    change, run = change[inside], run[inside]
+    change, run = change[plain[run]], run[plain[run]]
+    first = np.concatenate([starts, change])
+    order = np.argsort(first, kind="stable")
+    last = np.concatenate([stops, stops[run]])
+    of = np.concatenate([np.arange(len(starts)), run])[order]
+    first, last = first[order], last[order]
+    if len(first):
+        last[:-1] = np.where(of[1:] == of[:-1], first[1:], last[:-1])
+    return first, last, which[of], plain[of]
 
 
 def encode_texts(model_file: str, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all texts on end, each followed by ``end_id``, and their number per text.
 
-    The library gets every distinct run between blanks of the slice once; its ids are then gathered for all places."""
+    The library gets every distinct piece of the slice that it has not met; ids are then gathered for all places."""
     raw, ends = arrays.flat_bytes(texts)
-    starts, stops, which = arrays.words(raw, ends, NOT_BLANK)
+    starts, stops, which, single = cut(raw, ends)
     if not len(starts):
         return np.full(len(texts), end_id, np.int32), np.ones(len(texts), np.int64)
-    # Runs and the blanks between them alternate in one array of spans; every second one is a run.
+    # Pieces and what lies between them alternate in one array of spans; every second one is a piece.
     cuts = np.empty(2 * len(starts) + 1, np.int64)
     cuts[:-1:2], cuts[1::2], cuts[-1] = starts, stops, len(raw)
     spans = pa.LargeStringArray.from_buffers(len(cuts) - 1, pa.py_buffer(cuts), pa.py_buffer(np.ascontiguousarray(raw)))
     coded = spans.take(pa.array(np.arange(0, len(cuts) - 1, 2))).dictionary_encode()
-    lists = [x.ids for x in tokenizer(model_file).encode_batch_fast(coded.dictionary.to_pylist(), add_special_tokens=False)]
-    counts = np.fromiter(map(len, lists), np.int64, len(lists))
-    known = np.fromiter((i for x in lists for i in x), np.int32, int(counts.sum()))
     run = coded.indices.to_numpy()
+    alone = np.empty(len(coded.dictionary), bool)
+    alone[run] = single  # equal pieces are of one kind
+    known, counts = tokenizer(model_file).look_up(coded.dictionary.to_pylist(), alone)
     many = counts[run]
     done = np.cumsum(many)
     step = np.arange(int(done[-1])) - np.repeat(done - many, many)
@@ -376,7 +466,7 @@ def encode_texts(model_file: str, texts: pa.Array, end_id: int) -> tuple[np.ndar
 def encode(text: Column | str, model_file: str, end_id: int) -> Column:
     """Ids of each whole text as the tokenizers library gives them without special tokens, then ``end_id``; null reads as empty.
 
-    The tokenizer must cut texts at blanks before its merges and drop them; others raise an error."""
+    The tokenizer must drop blanks and cut words at signs before its merges, and mark ends of words; others raise an error."""
     @F.arrow_udf("array<int>")
     def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
