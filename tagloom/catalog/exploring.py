@@ -8,7 +8,7 @@ from tagloom import fixed
 from tagloom.catalog.tables import (DIGITS, WS, cte, docs, items, order_labels, order_vocabulary, query,
                                     raw_records, rnd, sql_list, sql_tokens, sql_words)
 from tagloom.functions import text as tx
-from tagloom.operators import explore
+from tagloom.operators import explore, keywords
 from tagloom.plans import reports
 
 STOP = sql_list(fixed.ENGLISH_STOP_WORDS)
@@ -170,6 +170,15 @@ def drop_shared_keywords(spark, sf):
     return explore.drop_shared_keywords(explore.top_words_per_label(docs(spark, sf)))
 
 
+@query("keyword_index", """select d.id, t.label, round(count(*) / any_value(s.n), 9) as fraction from docs d join top_words t on contains(lower(d.description), t.word)
+join (select label, cast(count(*) as double) as n from top_words group by label) s on s.label = t.label group by d.id, t.label""", ("docs", "top_words"))
+def keyword_index(spark, sf):
+    """Share of the top words of every label that a text holds, found by an index of their q-grams."""
+    d = docs(spark, sf)
+    lists = explore.top_words_per_label(d).select("label", F.col("word").alias("keyword"))
+    return keywords.keyword_fractions(d, lists).withColumn("fraction", F.round("fraction", 9))
+
+
 @query("distinct_values", """select movie_id, string_agg(distinct genre, ' / ' order by genre) as genres from raw group by movie_id""", ("raw",))
 def distinct_values(spark, sf):
     """Distinct label strings per id; their number is bounded by the label combinations."""

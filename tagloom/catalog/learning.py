@@ -5,13 +5,15 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import functions as F
 
 from tagloom import fixed
 from tagloom.catalog.tables import (DIGITS, cte, doc_scored, docs, lang_docs, lang_model, lang_weights, query, rnd, sql_list,
                                     sql_tokens, sql_words, table, all_order_labels)
 from tagloom.functions import text as tx
-from tagloom.operators import balance, clean, explore, features, models, neighbours, similarity, split
+from tagloom.operators import (balance, clean, explore, features, hashed, models, neighbours, quota, ranking, similarity, sketch,
+                               split, wordblocks)
 from tagloom.plans import experiments
 from tagloom.session import scratch_path, written
 from tagloom.sources import vectors as vector_files
@@ -96,16 +98,17 @@ def max_abs_scale(spark, sf):
 
 
 def word_vectors(spark, sf):
-    """Vectors named after the first word of the document with the same number."""
-    e, d = table(spark, sf, "embeddings"), table(spark, sf, "documents")
-    named = e.join(d, e.vec_id == d.doc_id).select(
-        F.get(tx.words(F.col("text")), 0).alias("word"), F.col("embedding").alias("vec"), "vec_id")
-    return features.unique_vectors(named.filter("word is not null"), ["vec_id"]).drop("vec_id")
+    """A vector for every distinct word of all texts: words in alphabetical order take the vectors in turn."""
+    e = ranking.dense_position(table(spark, sf, "embeddings").select("vec_id", "embedding"), ["vec_id"], "place")
+    words = docs(spark, sf).select(F.explode(tx.words(F.col("description"))).alias("word")).distinct()
+    n = e.agg(F.count(F.lit(1)).alias("n")).scalar()
+    named = ranking.dense_position(words, ["word"], "place").withColumn("place", F.pmod("place", n))
+    return named.join(e, "place").select("word", F.col("embedding").alias("vec"))
 
 
-cte("vectors", f"""select word, arg_min(vec, vec_id) as vec from (
-  select {sql_words('text')}[1] as word, embedding as vec, vec_id from embeddings join documents on vec_id = doc_id)
-where word is not null group by word""")
+cte("vectors", f"""select word, embedding as vec from (
+  select word, (row_number() over (order by word) - 1) % (select count(*) from embeddings) as place from (select distinct unnest({sql_words('description')}) as word from docs))
+join (select embedding, row_number() over (order by vec_id) - 1 as place from embeddings) using (place)""", "docs")
 cte("doc_words", f"select id, word, count(*) as n from (select id, unnest({sql_words('description')}) as word from docs) group by id, word", "docs")
 
 
@@ -142,6 +145,58 @@ def train_word_vectors(spark, sf):
     return features.train_word_vectors(docs(spark, sf)).select("word", F.size("vec").alias("size"))
 
 
+@query("block_word_vectors", "select lang, true as nearer from docs group by lang", ("docs",))
+def block_word_vectors(spark, sf):
+    """Whether the frequent words of each language, which occur together, lie nearer to each other than to those of any other."""
+    d = docs(spark, sf)
+    vecs = wordblocks.train_word_blocks(d)
+    words = d.select("lang", F.explode(tx.words(F.col("description"))).alias("word")).groupBy("word") \
+        .agg(F.min("lang").alias("lang"), F.max("lang").alias("other"), F.count(F.lit(1)).alias("n")).where("lang = other")
+    chosen = ranking.top_per_group(words, ["lang"], [F.desc("n"), F.asc("word")], 50).join(vecs, "word")
+    length = F.sqrt(F.aggregate("vec", F.lit(0.0), lambda a, x: a + x * x))
+    unit = array_to_vector(F.transform("vec", lambda x: x / length))
+    means = chosen.groupBy("lang").agg(vector_to_array(Summarizer.mean(unit)).alias("m"))
+    every = means.agg(F.collect_list(F.struct("lang", "m")).alias("all"))  # a row per language
+    dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
+    return every.select(F.inline(F.transform("all", lambda a: F.struct(a["lang"].alias("lang"), F.forall(
+        "all", lambda b: (a["lang"] == b["lang"]) | (dot(a["m"], a["m"]) > dot(a["m"], b["m"]))).alias("nearer")))))
+
+
+@query("pca_axes", """select cast(c.c as int) as component, cast(g.i - 1 as int) as dim, 0.0::double as residual from range(1, 3) c(c) cross join range(1, 65) g(i)""")
+def pca_axes(spark, sf):
+    """Covariance times axis minus variance times axis, in every dimension, of the axes that pca_project projects on; they
+    vanish for the eigenvectors. The axes are read off the projections: covariance of a dimension with a projection, over its variance."""
+    e = table(spark, sf, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").cast("array<double>").alias("embedding"))
+    p = features.pca_project(e, 2).join(e, "id")
+    cells = p.select("projection", F.posexplode("embedding").alias("dim", "x"))
+    axes = cells.select("dim", F.inline(F.transform("projection", lambda y, i: F.struct((i + 1).alias("component"), y.alias("y")))), "x") \
+        .groupBy("component", "dim").agg((F.covar_pop("x", "y") / F.var_pop("y")).alias("a"), F.var_pop("y").alias("v"))
+    axes = written(axes, "axes")
+    ordered = axes.groupBy("component").agg(F.array_sort(F.collect_list(F.struct("dim", "a")))["a"].alias("axis"), F.first("v").alias("v"))
+    means = cells.groupBy("dim").agg(F.avg("x").alias("m")).agg(F.array_sort(F.collect_list(F.struct("dim", "m")))["m"].alias("means")).scalar()
+    centred = F.zip_with("embedding", means, lambda x, m: x - m)
+    dot = F.aggregate(F.zip_with("c", "axis", lambda x, a: x * a), F.lit(0.0), lambda s, x: s + x)
+    scored = e.select(centred.alias("c")).join(F.broadcast(ordered)).select("component", "v", "axis", "c", dot.alias("y"))
+    products = scored.select("component", "v", "axis", "y", F.posexplode("c").alias("dim", "x")).groupBy("component", "dim").agg(
+        (F.avg(F.col("x") * F.col("y")) - F.first("v") * F.first(F.get("axis", F.col("dim")))).alias("residual"))
+    return products.select("component", "dim", (F.round("residual", 8) + 0.0).alias("residual"))
+
+
+@query("pca_sparse", """select cast(a.a as int) as component, cast(b.a as int) as other, cast(a.a = b.a as int)::double as dot, true as ordered
+from range(1, 4) a(a) cross join range(1, 4) b(a)""")
+def pca_sparse(spark, sf):
+    """Products of the three leading axes of the TF-IDF rows of words and word pairs, and whether their variances fall."""
+    d = docs(spark, sf)
+    cells = features.tfidf(d, ngram=(1, 2)).select("id", F.col("term").alias("column"), F.col("weight").alias("value"))
+    found = sketch.fit(cells, d, 3)
+    axis = found.axes.select("column", F.posexplode("axis").alias("component", "a"))
+    other = found.axes.select("column", F.posexplode("axis").alias("other", "b"))
+    falls = F.lit([bool(x) for x in (found.variances[:1].tolist() and [True]) + [b <= a for a, b in zip(found.variances, found.variances[1:])]])
+    return axis.join(other, "column").groupBy("component", "other").agg(F.sum(F.col("a") * F.col("b")).alias("dot")).select(
+        (F.col("component") + 1).alias("component"), (F.col("other") + 1).alias("other"), (F.round("dot", 6) + 0.0).alias("dot"),
+        F.get(falls, F.col("component")).alias("ordered"))
+
+
 @query("pca_project")
 def pca_project(spark, sf):
     e = table(spark, sf, "embeddings").select(F.col("vec_id").alias("id"), "embedding")
@@ -327,6 +382,31 @@ def stratified_kfold(spark, sf):
     return split.stratified_kfold(all_order_labels(spark, sf)).select("id", "fold")
 
 
+def brand_sets(spark, sf):
+    """(id, labels): every order with the brands of its parts; nearly all sets differ."""
+    items = table(spark, sf, "lineitem").join(table(spark, sf, "part"), F.col("l_partkey") == F.col("p_partkey"))
+    held = items.groupBy(F.col("l_orderkey").alias("id")).agg(F.array_sort(F.collect_set("p_brand")).alias("labels"))
+    return table(spark, sf, "orders").select(F.col("o_orderkey").alias("id")).join(held, "id", "left") \
+        .withColumn("labels", F.coalesce("labels", F.array().cast("array<string>")))
+
+
+cte("brands", "select distinct l_orderkey as id, p_brand as label from lineitem join part on l_partkey = p_partkey")
+
+
+@query("quota_split", """select label as part, count(*) as n, true as within from brands group by label
+union all select concat(a.label, '|', b.label), count(*), true from brands a join brands b on a.id = b.id and a.label < b.label
+group by a.label, b.label having count(*) * 0.1 >= 1
+union all select '', count(*), true from orders""", ("brands",))
+def quota_split(spark, sf):
+    """Records of every brand and of every frequent pair of brands, and whether their share in the test part is less than one
+    record off."""
+    parts = quota.quota_split(brand_sets(spark, sf), 0.1)
+    rows = parts.select(F.explode(F.concat(F.array(F.lit("")), quota.parts_of("labels"))).alias("part"), (F.col("split") == "test").cast("int").alias("t"))
+    counts = rows.groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.sum("t").alias("t"))
+    return counts.where(~F.contains("part", F.lit("|")) | (F.col("n") * 0.1 >= 1)) \
+        .select("part", "n", (F.abs(F.col("t") - 0.1 * F.col("n")) < 1).alias("within"))
+
+
 # --- class weights and balancing ----------------------------------------------------------------
 
 cte("class_sizes", "select label, count(*) as pos, n - count(*) as neg, n from doc_labels cross join (select count(*) as n from docs) group by label, n", "doc_labels", "docs")
@@ -404,6 +484,24 @@ def nearest_neighbours(spark, sf):
     return neighbours.nearest(v, v, 5, exclude_self=True).withColumn("distance", rnd("distance", 7))
 
 
+@query("hashed_neighbours", f"""select id, cast(5 as bigint) as found, cast(0 as bigint) as wrong, true as recall
+from (select vec_id as id from embeddings)""")
+def hashed_neighbours(spark, sf):
+    """For every embedding the number of neighbours found by hash tables, how many of their distances are wrong, and whether
+    nine tenths of all nearest ones are among them."""
+    v = vectors(spark, sf)
+    got = written(hashed.nearest_hashed(v, v, 5, exclude_self=True), "hashed")
+    truth = neighbours.nearest(v, v, 5, exclude_self=True).select("id", "neighbour_id", F.lit(1).alias("true"))
+    other = v.select(F.col("id").alias("neighbour_id"), F.col("vector").alias("other"))
+    squares = F.aggregate(F.zip_with("vector", "other", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, x: s + x)
+    rows = got.join(v, "id").join(other, "neighbour_id").join(truth, ["id", "neighbour_id"], "left")
+    one = rows.groupBy("id").agg(F.count(F.lit(1)).alias("found"),
+                                 F.sum((F.abs(F.sqrt(squares) - F.col("distance")) > 1e-9).cast("int")).alias("wrong"), F.count("true").alias("hits"))
+    one = written(one, "hits")
+    recall = one.agg((F.sum("hits") >= 0.9 * F.sum("found")).alias("r")).scalar()
+    return one.select("id", "found", "wrong", recall.alias("recall"))
+
+
 cte("marked", "select vec_id, embedding, quality, toxic from embeddings join labels on doc_id = vec_id")
 
 

@@ -6,11 +6,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tagloom.fixed import SMOTE_SEED
+from tagloom.operators.hashed import nearest_hashed
 from tagloom.operators.neighbours import is_sparse, nearest
 from tagloom.operators.ranking import exact_rank
 from tagloom.session import names_table
 
 
+SEARCHES = {"exact": nearest, "hashed": nearest_hashed}
+
+
 def positives(df: DataFrame, vocabulary: list[str], labels: str = "labels") -> DataFrame:
     """(label, pos, neg, n) for the whole vocabulary, from counts of distinct label sets."""
     combos = df.groupBy(labels).agg(F.count(F.lit(1)).alias("c"))
@@ -70,14 +74,17 @@ def between(a: Column, b: Column, u: Column, sparse: bool) -> Column:
 
 
 def smote(df: DataFrame, synthesize: int, k: int = 5, seed: int = SMOTE_SEED,
-          target: str = "y", vector: str = "features") -> DataFrame:
+          target: str = "y", vector: str = "features", search: str = "exact") -> DataFrame:
     """(id, copy, vector, y): the records with copy 0, and ``synthesize`` positives x + u (nn - x),
     nn one of the k nearest positives of x, under the id of x with copy 1, 2, ... Every positive
     gives floor or ceil of the equal share, in md5 order; neighbour and u come from a hash of
     (id, copy, seed), so the result is repeatable. Ids may be of any type.
 
-    ``synthesize`` is one line of smote_plan. At least k + 1 positives are needed.
+    ``synthesize`` is one line of smote_plan. At least k + 1 positives are needed. ``search`` "hashed" takes the
+    neighbours from hash tables (near ones instead of the nearest), for many positives.
     """
+    if search not in SEARCHES:
+        raise ValueError(f"unknown search {search!r}; known: {', '.join(SEARCHES)}")
     kept = df.select("id", F.lit(0).cast("long").alias("copy"), vector, F.col(target).cast("int").alias(target))
     if synthesize <= 0:
         return kept
@@ -86,7 +93,7 @@ def smote(df: DataFrame, synthesize: int, k: int = 5, seed: int = SMOTE_SEED,
     if n <= k:
         raise ValueError(f"{n} positive records, but {k} neighbours of each are asked for")
     each, extra = divmod(synthesize, n)
-    near = nearest(pos, pos, k, exclude_self=True).select("id", "rank", "neighbour_id")
+    near = SEARCHES[search](pos, pos, k, exclude_self=True).select("id", "rank", "neighbour_id")
 
     copies, sources = F.lit(each).cast("long"), pos
     if extra:

@@ -1,7 +1,8 @@
-"""One binary model per label, fitted by MLlib, and naive Bayes as plain aggregations.
+"""One binary model per label: logistic models fitted together (operators/linear.py), the others by
+MLlib, and naive Bayes as plain aggregations.
 
-Training rows are (id, features vector, labels array<string>). Fits share one written or cached
-feature table and run a few at a time.
+Training rows are (id, features vector, labels array<string>). MLlib fits share one written feature
+table and run a few at a time.
 """
 
 from __future__ import annotations
@@ -11,13 +12,13 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from itertools import accumulate
 
-from pyspark import StorageLevel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tagloom.fixed import SEED
 from tagloom.functions.labels import sigmoid
+from tagloom.operators import linear
 from tagloom.operators.balance import positives, unit
 from tagloom.session import written
 
@@ -29,16 +30,11 @@ MAX_DEPTH = 30  # MLlib accepts no deeper trees
 
 
 def estimator(name: str, weight_total: float, n_features: int, **options):
-    """The MLlib estimator for a name, on columns features, y and w. Trees grow to MLlib's greatest
+    """The MLlib estimator for a name other than lreg, on columns features, y and w. Trees grow to MLlib's greatest
     depth unless ``max_depth`` says otherwise."""
     from pyspark.ml import classification as mc
 
     common = {"featuresCol": "features", "labelCol": "y"}
-    if name == "lreg":
-        c = options.pop("C", 1.0)
-        return mc.LogisticRegression(
-            **common, weightCol="w", elasticNetParam=0.0, standardization=False,
-            regParam=1.0 / (c * weight_total), maxIter=options.pop("max_iter", 1000), **options)
     if name == "svm":
         c = options.pop("C", 1.0)
         return mc.LinearSVC(**common, weightCol="w", standardization=False,
@@ -72,6 +68,9 @@ class MultiLabelModel:
 
     def predict_proba(self, rows: DataFrame, name: str = "proba") -> DataFrame:
         """Add the dense probability array; all models score in one pass over the rows."""
+        if self.name == "lreg":
+            scores = linear.margins("features", [self.models[label][0] for label in self.vocabulary])
+            return rows.withColumn(name, F.transform(scores, sigmoid))
         kept, out, parts = rows.columns, rows, []
         for i, label in enumerate(self.vocabulary):
             votes = []
@@ -128,31 +127,29 @@ def fit_multilabel(rows: DataFrame, vocabulary: list[str], name: str = "lreg",
                    class_weight: str | None = None, n_features: int | None = None,
                    per_label: dict[str, DataFrame] | None = None, threads: int = 4,
                    bags: int = BAGS, **options) -> MultiLabelModel:
-    """``per_label`` replaces the (id, copy, features, y) rows of some labels (balanced training sets).
-    Fits run ``threads`` at a time over one cached table."""
+    """``per_label`` holds balanced training sets (id, copy, features, y) of some labels: the rows of ``rows`` as
+    copy 0, and synthetic ones. Logistic models are fitted together; MLlib fits run ``threads`` at a time
+    over one table, which is written to the shared folder."""
     if name not in ESTIMATORS:
         raise ValueError(f"unknown estimator {name!r}; known: {', '.join(ESTIMATORS)}, knn")
-    owned = not rows.is_cached
-    if owned:
-        rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        if n_features is None:
-            n_features = rows.select("features").first()["features"].size
-        frames = label_frames(rows, vocabulary, class_weight)
-        for label, frame in (per_label or {}).items():
-            frames[label] = weighted(frame, class_weight)
-        jobs = [(label, bag) for label in vocabulary for bag in range(bags if name == "svm" else 1)]
-
-        def fit(job):
-            frame, _, total = frames[job[0]]  # the weights add up to the number of rows
-            sample = resampled(frame, job[1], SEED) if name == "svm" else frame
-            return estimator(name, total, n_features, **options).fit(sample)
-
-        with ThreadPoolExecutor(max_workers=threads) as pool:
-            fitted = list(pool.map(fit, jobs))
-    finally:
-        if owned:
-            rows.unpersist()
+    if n_features is None:
+        n_features = rows.select("features").first()["features"].size
+    if name == "lreg":
+        fitted = linear.fit_logistic(linear_rows(rows, vocabulary, per_label), len(vocabulary), n_features, 1, class_weight, **options)
+        return MultiLabelModel(name, list(vocabulary), dict(zip(vocabulary, fitted)))
+    rows = written(rows.select("id", "features", "labels"), "training")
+    frames = label_frames(rows, vocabulary, class_weight)
+    for label, frame in (per_label or {}).items():
+        frames[label] = weighted(frame, class_weight)
+    jobs = [(label, bag) for label in vocabulary for bag in range(bags if name == "svm" else 1)]
+
+    def fit(job):
+        frame, _, total = frames[job[0]]  # the weights add up to the number of rows
+        sample = resampled(frame, job[1], SEED) if name == "svm" else frame
+        return estimator(name, total, n_features, **options).fit(sample)
+
+    with ThreadPoolExecutor(max_workers=threads) as pool:
+        fitted = list(pool.map(fit, jobs))
     models: dict[str, list] = {}
     for (label, _), model in zip(jobs, fitted):
         models.setdefault(label, []).append(model)
@@ -164,6 +161,17 @@ def fit_multilabel(rows: DataFrame, vocabulary: list[str], name: str = "lreg",
     return MultiLabelModel(name, list(vocabulary), models, odds)
 
 
+def linear_rows(rows: DataFrame, vocabulary: list[str], per_label: dict[str, DataFrame] | None = None) -> DataFrame:
+    """(features, y by label, copies, only): the rows for all labels, and the synthetic rows of one label each."""
+    held = F.transform(F.lit(list(vocabulary)), lambda v: F.coalesce(F.array_contains("labels", v), F.lit(False)).cast("tinyint"))
+    one = F.array(F.lit(1).cast("tinyint"))
+    out = rows.select("features", held.alias("y"), one.alias("copies"), F.lit(-1).alias("only"))
+    for label, frame in (per_label or {}).items():
+        y = F.array_repeat(F.col("y").cast("tinyint"), len(vocabulary))
+        out = out.unionByName(frame.where("copy > 0").select("features", y.alias("y"), one.alias("copies"), F.lit(vocabulary.index(label)).alias("only")))
+    return out
+
+
 def weighted(frame: DataFrame, class_weight: str | None) -> tuple[DataFrame, float, float]:
     """Add w to (id, copy, features, y) rows; also the numbers of positives and of rows."""
     frame = frame.withColumn("y", F.col("y").cast("double"))

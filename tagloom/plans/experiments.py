@@ -3,6 +3,8 @@ metrics. Input records: (id, description, labels array<string>)."""
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
 from functools import reduce
@@ -123,6 +125,12 @@ def plain_vector(dense: bool) -> Column:
 def run_one(train: DataFrame, test: DataFrame, vocabulary: list[str], cfg: Config,
             prepared: tuple | None = None, max_iter: int = 1000) -> DataFrame:
     """(id, y_true, y_pred) of the test records."""
+    return decided(score(train, test, vocabulary, cfg, prepared, max_iter), test, vocabulary, cfg)
+
+
+def score(train: DataFrame, test: DataFrame, vocabulary: list[str], cfg: Config,
+          prepared: tuple | None = None, max_iter: int = 1000) -> DataFrame:
+    """(id, proba) of the test records."""
     if cfg.prune:
         train = clean.prune_texts(train)
     train_x, test_x, _, size = prepared or fit_features(train, test, cfg)
@@ -131,12 +139,15 @@ def run_one(train: DataFrame, test: DataFrame, vocabulary: list[str], cfg: Confi
     if cfg.estimator == "knn":
         sides = [r.withColumn("vector", plain_vector(dense)) for r in (rows, test_x)]
         p = neighbours.knn_proba(sides[0], sides[1])
-        scored = decide.dense_scores(p, vocabulary, test_x)
-    else:
-        sets = balanced_sets(rows, vocabulary, cfg.balancing_ratio, size, dense) if cfg.balancing_ratio else None
-        options = {"max_iter": max_iter} if cfg.estimator in ("lreg", "svm", "mlp") else {}
-        model = models.fit_multilabel(rows, vocabulary, cfg.estimator, cfg.class_weight, size, sets, **options)
-        scored = model.predict_proba(test_x)
+        return decide.dense_scores(p, vocabulary, test_x).select("id", "proba")
+    sets = balanced_sets(rows, vocabulary, cfg.balancing_ratio, size, dense) if cfg.balancing_ratio else None
+    options = {"max_iter": max_iter} if cfg.estimator in ("lreg", "svm", "mlp") else {}
+    model = models.fit_multilabel(rows, vocabulary, cfg.estimator, cfg.class_weight, size, sets, **options)
+    return model.predict_proba(test_x).select("id", "proba")
+
+
+def decided(scored: DataFrame, test: DataFrame, vocabulary: list[str], cfg: Config) -> DataFrame:
+    """(id, y_true, y_pred, proba): the decision rule of the run on its probabilities."""
     rule = decide.predict_at_least_one if cfg.at_least_one else decide.predict_threshold
     hot = rule(scored)
     return hot.join(test.select("id", F.array_sort("labels").alias("y_true")), "id").select(
@@ -151,25 +162,60 @@ def lemma_text(df: DataFrame) -> DataFrame:
 METRICS = ["jaccard", "hamming", "precision", "recall", "at_least_one", "at_least_two"]
 
 
+LEDGER = "key string, run string, metric string, value double"
+
+
+def run_key(records: DataFrame, vocabulary: list[str], cfg: Config, *settings) -> str:
+    """Name of a run: a digest of its configuration and settings and of the contents of the records, whatever their order."""
+    kept = [c for c in ("id", "description", "lemmatized_description", "labels") if c in records.columns]
+    state = records.agg(F.count(F.lit(1)), F.sum(F.xxhash64(*kept).cast("decimal(38,0)"))).first()
+    return hashlib.sha256(repr((cfg, list(vocabulary), settings, [str(x) for x in state])).encode()).hexdigest()
+
+
 def run_matrix(records: DataFrame, vocabulary: list[str], configs: list[Config] | None = None,
-               test: float = 0.1, max_iter: int = 1000, dev: bool = False) -> DataFrame:
+               test: float = 0.1, max_iter: int = 1000, dev: bool = False, ledger: str | None = None) -> DataFrame:
     """(run, metric, value) for every configuration, on one split; dev=True trains on the dev
-    share of the training set. Lemmatized runs need the column lemmatized_description."""
+    share of the training set. Lemmatized runs need the column lemmatized_description.
+
+    ``ledger`` is a folder of finished runs, shared by any number of matrices: every run is added when it is done, and a
+    run that it holds for the same configuration, settings and records is not repeated. A matrix that was stopped goes on
+    with the run it was in."""
+    wanted = configs or STANDARD_RUNS
+    if ledger:
+        spark = records.sparkSession
+        spark.createDataFrame([], LEDGER).write.mode("append").parquet(ledger)
+        keys = {cfg: run_key(records, vocabulary, cfg, test, max_iter, dev) for cfg in wanted}
+        done = {r["key"] for r in spark.read.schema(LEDGER).parquet(ledger).where(F.col("key").isin(list(keys.values()))).select("key").distinct().collect()}
+        for cfg, run in matrix_runs(records, vocabulary, [c for c in wanted if keys[c] not in done], test, max_iter, dev):
+            run.select(F.lit(keys[cfg]).alias("key"), "run", "metric", "value").coalesce(1).write.mode("append").parquet(ledger)
+        table = spark.read.schema(LEDGER).parquet(ledger).where(F.col("key").isin(list(keys.values())))
+        # Two matrices that ran at the same time may both have written a run.
+        return table.dropDuplicates(["key", "metric"]).select("run", "metric", "value")
+    return reduce(DataFrame.unionByName, [run for _, run in matrix_runs(records, vocabulary, wanted, test, max_iter, dev)])
+
+
+def matrix_runs(records: DataFrame, vocabulary: list[str], configs: list[Config], test: float, max_iter: int,
+                dev: bool) -> Iterator[tuple[Config, DataFrame]]:
+    """Each configuration with its (run, metric, value). Runs that differ only in their decision rule share their models."""
+    if not configs:
+        return
     parts = written(split.stratified_split(records, test), "split")
     train = parts.filter("dev" if dev else "split = 'train'")
     held = parts.filter("split = 'test'")
-    tables, prepared = [], {}
-    for cfg in configs or STANDARD_RUNS:
+    prepared: dict[Config, tuple] = {}
+    scores: dict[Config, DataFrame] = {}
+    for cfg in configs:
         # Runs that differ only in balancing, class weight or decision rule share their features.
         key = replace(cfg, run="", balancing_ratio=None, class_weight=None, at_least_one=True, estimator="")
         if key not in prepared:
             base = clean.prune_texts(train) if cfg.prune else train
             texts = [lemma_text(d) if cfg.lemmatized else d for d in (base, held)]
             prepared[key] = fit_features(texts[0], texts[1], cfg)
-        scored = run_one(train, held, vocabulary, cfg, prepared[key], max_iter)
-        one = evaluate.compute_metrics(scored, vocabulary, METRICS)
-        tables.append(one.select(F.lit(cfg.run).alias("run"), "metric", "value"))
-    return reduce(DataFrame.unionByName, tables)
+        model = replace(cfg, run="", at_least_one=True)
+        if model not in scores:
+            scores[model] = written(score(train, held, vocabulary, cfg, prepared[key], max_iter), "scores")
+        one = evaluate.compute_metrics(decided(scores[model], held, vocabulary, cfg), vocabulary, METRICS)
+        yield cfg, written(one.select(F.lit(cfg.run).alias("run"), "metric", "value"), "run")
 
 
 def run_binary(records: DataFrame, label: str, vocabulary: list[str], keywords: list[str] | None = None,
