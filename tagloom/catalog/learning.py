@@ -103,7 +103,7 @@ def word_vectors(spark, sf):
     words = docs(spark, sf).select(F.explode(tx.words(F.col("description"))).alias("word")).distinct()
     n = e.agg(F.count(F.lit(1)).alias("n")).scalar()
     named = ranking.dense_position(words, ["word"], "place").withColumn("place", F.pmod("place", n))
-    return named.join(e, "place").select("word", F.col("embedding").alias("vec"))
+    return written(named.join(e, "place").select("word", F.col("embedding").alias("vec")), "named-vectors")
 
 
 cte("vectors", f"""select word, embedding as vec from (
@@ -149,7 +149,7 @@ def train_word_vectors(spark, sf):
 def block_word_vectors(spark, sf):
     """Whether the frequent words of each language, which occur together, lie nearer to each other than to those of any other."""
     d = docs(spark, sf)
-    vecs = wordblocks.train_word_blocks(d)
+    vecs = wordblocks.train_word_blocks(d, vector_size=48, epochs=3)
     words = d.select("lang", F.explode(tx.words(F.col("description"))).alias("word")).groupBy("word") \
         .agg(F.min("lang").alias("lang"), F.max("lang").alias("other"), F.count(F.lit(1)).alias("n")).where("lang = other")
     chosen = ranking.top_per_group(words, ["lang"], [F.desc("n"), F.asc("word")], 50).join(vecs, "word")
@@ -168,18 +168,15 @@ def pca_axes(spark, sf):
     vanish for the eigenvectors. The axes are read off the projections: covariance of a dimension with a projection, over its variance."""
     e = table(spark, sf, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").cast("array<double>").alias("embedding"))
     p = features.pca_project(e, 2).join(e, "id")
-    cells = p.select("projection", F.posexplode("embedding").alias("dim", "x"))
+    cells = p.select("id", "projection", F.posexplode("embedding").alias("dim", "x"))
     axes = cells.select("dim", F.inline(F.transform("projection", lambda y, i: F.struct((i + 1).alias("component"), y.alias("y")))), "x") \
         .groupBy("component", "dim").agg((F.covar_pop("x", "y") / F.var_pop("y")).alias("a"), F.var_pop("y").alias("v"))
     axes = written(axes, "axes")
-    ordered = axes.groupBy("component").agg(F.array_sort(F.collect_list(F.struct("dim", "a")))["a"].alias("axis"), F.first("v").alias("v"))
-    means = cells.groupBy("dim").agg(F.avg("x").alias("m")).agg(F.array_sort(F.collect_list(F.struct("dim", "m")))["m"].alias("means")).scalar()
-    centred = F.zip_with("embedding", means, lambda x, m: x - m)
-    dot = F.aggregate(F.zip_with("c", "axis", lambda x, a: x * a), F.lit(0.0), lambda s, x: s + x)
-    scored = e.select(centred.alias("c")).join(F.broadcast(ordered)).select("component", "v", "axis", "c", dot.alias("y"))
-    products = scored.select("component", "v", "axis", "y", F.posexplode("c").alias("dim", "x")).groupBy("component", "dim").agg(
-        (F.avg(F.col("x") * F.col("y")) - F.first("v") * F.first(F.get("axis", F.col("dim")))).alias("residual"))
-    return products.select("component", "dim", (F.round("residual", 8) + 0.0).alias("residual"))
+    means = cells.groupBy("dim").agg(F.avg("x").alias("m"))
+    centred = written(cells.select("id", "dim", "x").join(means, "dim").select("id", "dim", (F.col("x") - F.col("m")).alias("c")), "centred")
+    y = centred.join(axes.select("component", "dim", "a"), "dim").groupBy("id", "component").agg(F.sum(F.col("c") * F.col("a")).alias("y"))
+    cov = centred.join(y, "id").groupBy("component", "dim").agg(F.avg(F.col("c") * F.col("y")).alias("cov"))
+    return cov.join(axes, ["component", "dim"]).select("component", "dim", (F.round(F.col("cov") - F.col("v") * F.col("a"), 8) + 0.0).alias("residual"))
 
 
 @query("pca_sparse", """select cast(a.a as int) as component, cast(b.a as int) as other, cast(a.a = b.a as int)::double as dot, true as ordered

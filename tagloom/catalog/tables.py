@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tagloom.functions import text as tx
 from tagloom.operators import clean, evaluate, explore, models
+from tagloom.session import spread
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -98,7 +99,7 @@ GENRE = "case source when 'src5' then concat(lang, ', News') else concat(lang, '
 
 
 def raw_records(spark: SparkSession, sf: str) -> DataFrame:
-    d = table(spark, sf, "documents")
+    d = spread(table(spark, sf, "documents").select("doc_id", "text", "lang", "source"), "doc_id")
     empty = d.filter("source in ('src0', 'src3')")
     return d.selectExpr(*KEYS, TEXT, GENRE, "doc_id").unionByName(
         empty.selectExpr(*KEYS, PLACEHOLDER, GENRE, "-1 - doc_id as doc_id"))
@@ -136,9 +137,9 @@ from override_rows where plots is not null group by ids""", "override_rows")
 
 def docs(spark: SparkSession, sf: str) -> DataFrame:
     """(id, description, labels = [language, source], lang, source)."""
-    return table(spark, sf, "documents").select(
-        F.col("doc_id").alias("id"), F.col("text").alias("description"),
-        F.array("lang", "source").alias("labels"), "lang", "source")
+    rows = spread(table(spark, sf, "documents").select("doc_id", "text", "lang", "source"), "doc_id")
+    return rows.select(F.col("doc_id").alias("id"), F.col("text").alias("description"),
+                       F.array("lang", "source").alias("labels"), "lang", "source")
 
 
 def lang_docs(spark: SparkSession, sf: str) -> DataFrame:

@@ -19,6 +19,7 @@ from tagloom.operators.ranking import dense_position, keep_first
 from tagloom.session import scratch_path, written
 
 VECTORIZERS = ("count", "tf-idf")
+BROADCAST_VALUES = 1 << 24  # numbers of a vector table that may be broadcast
 
 
 def tokenize(df: DataFrame, column: str = "description", name: str = "tokens") -> DataFrame:
@@ -162,6 +163,8 @@ def mean_embedding(df: DataFrame, vectors: DataFrame, size: int, identifier: str
     words = counted(rows, tx.words(F.col("_text")), "word", "n").withColumn("n", F.col("n").cast("double"))
     # Measured faster than one plain sum per dimension, and its plan does not grow with the size.
     vecs = vectors.select("word", array_to_vector(F.col("vec").cast("array<double>")).alias("v"))
+    if vectors.limit(BROADCAST_VALUES // size + 1).count() <= BROADCAST_VALUES // size:
+        vecs = F.broadcast(vecs)  # then a text's vectors are added up where the text is
     means = words.join(vecs, "word").groupBy("id").agg(
         vector_to_array(Summarizer.mean(F.col("v"), F.col("n"))).alias("m")
     )

@@ -45,6 +45,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/tagloom/{name}-{uuid.uuid4().hex}"
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """The rows of a scan, dealt out by ``keys`` where it has fewer partitions than there are cores: one row group of a file is
+    one task, however dear the rows are. A scan of many partitions is left as it is, so nothing is shuffled at scale. ``df``
+    must be a scan with row-local steps only, as its partitions are counted."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: lineage ends there, and every
     later reader sees the same rows even when executors are lost and tasks run again."""
