@@ -98,16 +98,15 @@ def max_abs_scale(spark, sf):
 
 
 def word_vectors(spark, sf):
-    """A vector for every distinct word of all texts: words in alphabetical order take the vectors in turn."""
+    """The vectors, named after the distinct words of all texts: the most frequent word has the first one; equal counts by word."""
     e = ranking.dense_position(table(spark, sf, "embeddings").select("vec_id", "embedding"), ["vec_id"], "place")
-    words = docs(spark, sf).select(F.explode(tx.words(F.col("description"))).alias("word")).distinct()
-    n = e.agg(F.count(F.lit(1)).alias("n")).scalar()
-    named = ranking.dense_position(words, ["word"], "place").withColumn("place", F.pmod("place", n))
+    words = docs(spark, sf).select(F.explode(tx.words(F.col("description"))).alias("word")).groupBy("word").agg((-F.count(F.lit(1))).alias("minus"))
+    named = ranking.dense_position(words, ["minus", "word"], "place")
     return written(named.join(e, "place").select("word", F.col("embedding").alias("vec")), "named-vectors")
 
 
 cte("vectors", f"""select word, embedding as vec from (
-  select word, (row_number() over (order by word) - 1) % (select count(*) from embeddings) as place from (select distinct unnest({sql_words('description')}) as word from docs))
+  select word, row_number() over (order by count(*) desc, word) - 1 as place from (select unnest({sql_words('description')}) as word from docs) group by word)
 join (select embedding, row_number() over (order by vec_id) - 1 as place from embeddings) using (place)""", "docs")
 cte("doc_words", f"select id, word, count(*) as n from (select id, unnest({sql_words('description')}) as word from docs) group by id, word", "docs")
 

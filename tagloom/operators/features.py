@@ -7,6 +7,11 @@ frequencies and for the weights; the norms group the weights, not the texts, by
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.linalg import VectorUDT
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
@@ -19,7 +24,8 @@ from tagloom.operators.ranking import dense_position, keep_first
 from tagloom.session import scratch_path, written
 
 VECTORIZERS = ("count", "tf-idf")
-BROADCAST_VALUES = 1 << 24  # numbers of a vector table that may be broadcast
+SLICE_WORDS = 1 << 16
+BROADCAST_VALUES = 1 << 23  # numbers of a vector table that every task may hold
 
 
 def tokenize(df: DataFrame, column: str = "description", name: str = "tokens") -> DataFrame:
@@ -153,6 +159,30 @@ def unique_vectors(vectors: DataFrame, order: list[str]) -> DataFrame:
     return keep_first(vectors, ["word"], order)
 
 
+def means_in_row(vectors: DataFrame, size: int):
+    """A function from word lists to the mean vector of the known words, for a table of bounded size: nothing is shuffled."""
+    table = vectors.toArrow()
+    names, matrix = table["word"].combine_chunks(), table["vec"].combine_chunks().flatten().to_numpy().reshape(-1, size)
+
+    @F.arrow_udf("array<double>")
+    def means(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            out = np.zeros((len(batch), size))
+            found = pc.index_in(batch.flatten(), names)
+            row = np.repeat(np.arange(len(batch)), batch.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+            held = found.is_valid().to_numpy(zero_copy_only=False)
+            place, row = found.drop_null().to_numpy(zero_copy_only=False), row[held]
+            n = np.bincount(row, minlength=len(batch))
+            for at in range(0, len(row), SLICE_WORDS):
+                part, own = place[at : at + SLICE_WORDS], row[at : at + SLICE_WORDS]
+                first = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
+                out[own[first]] += np.add.reduceat(matrix[part], first, axis=0)
+            out /= np.maximum(n, 1)[:, None]
+            yield pa.FixedSizeListArray.from_arrays(pa.array(out.ravel()), size).cast(pa.list_(pa.float64()))
+
+    return means
+
+
 def mean_embedding(df: DataFrame, vectors: DataFrame, size: int, identifier: str = "id",
                    column: str = "description") -> DataFrame:
     """(id, embedding array<double>): mean of the vectors of the words that have one, repeats
@@ -160,11 +190,12 @@ def mean_embedding(df: DataFrame, vectors: DataFrame, size: int, identifier: str
     text before the join, so a frequent word costs one row per text, and the mean is a
     partial-aggregable weighted sum."""
     rows = df.select(F.col(identifier).alias("id"), F.col(column).alias("_text"))
+    known = vectors.select("word", F.col("vec").cast("array<double>").alias("vec")).where("word is not null and vec is not null")
+    if known.limit(BROADCAST_VALUES // size + 1).count() <= BROADCAST_VALUES // size:
+        return rows.select("id", means_in_row(known, size)(tx.words(F.col("_text"))).alias("embedding"))
     words = counted(rows, tx.words(F.col("_text")), "word", "n").withColumn("n", F.col("n").cast("double"))
     # Measured faster than one plain sum per dimension, and its plan does not grow with the size.
-    vecs = vectors.select("word", array_to_vector(F.col("vec").cast("array<double>")).alias("v"))
-    if vectors.limit(BROADCAST_VALUES // size + 1).count() <= BROADCAST_VALUES // size:
-        vecs = F.broadcast(vecs)  # then a text's vectors are added up where the text is
+    vecs = known.select("word", array_to_vector("vec").alias("v"))
     means = words.join(vecs, "word").groupBy("id").agg(
         vector_to_array(Summarizer.mean(F.col("v"), F.col("n"))).alias("m")
     )
