@@ -30,7 +30,7 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 BLOCK = frozenset("""address article aside blockquote body button caption center dd details dialog div dl dt fieldset figcaption
 figure footer form h1 h2 h3 h4 h5 h6 head header hr html label legend li main menu nav ol option p pre section summary table
 tbody td tfoot th thead title tr ul""".split())
-HIDDEN = frozenset("head title script style template noscript svg iframe object textarea select canvas audio video math".split())
+HIDDEN = frozenset("head title script style template noscript svg iframe object textarea select canvas audio video".split())
 # An open head ends where anything else begins, as its end tag and the tags of the body may be left out.
 IN_HEAD = frozenset("base basefont bgsound head html link meta noscript script style template title".split())
 RAW = "script|style|textarea|title|iframe|noscript|template"
@@ -41,7 +41,9 @@ CLOSING_P = BLOCK - {"option", "label", "button", "html", "head", "body", "title
 
 TOKEN = re.compile(
     rf"""<!--.*?(?:-->|\Z)|<(?P<raw>{RAW})\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/><]*)"""
-    r"""(?P<rest>(?>[^<>"']++|"[^"<]*+"|'[^'<]*+'|["'])*+)>|<[!?/][^>]*>?|(?P<text>[^<]+|<)""", re.S | re.I)
+    # A quoted value may hold < and > where it ends as a value does; other quotes end before the next tag, or are plain characters.
+    r"""(?P<rest>(?>[^<>"'=]++|=\s*+(?:"[^"]*+"(?=[\s/>])|'[^']*+'(?=[\s/>]))|"[^"<]*+"|'[^'<]*+'|["'=])*+)>|<[!?/][^>]*>?|(?P<text>[^<]+|<)""",
+    re.S | re.I)
 NAMED = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 WORD = re.compile(r"[a-z]+")
 
@@ -55,6 +57,7 @@ class Reader:
     def read(self, page: str) -> list[tuple[str, float | list[str]]]:
         self.blocks: list = []
         self.stack: list[tuple[str, tuple[str, ...]]] = []
+        self.within: list[str] = [""]  # open block elements
         self.open: Counter = Counter()
         self.active: Counter = Counter()
         self.total = 0.0
@@ -92,13 +95,16 @@ class Reader:
                 self.leave(CLOSES[tag], CONTAINERS - {"table"} if tag in ("td", "th", "tr") else CONTAINERS)
         elif tag == "br":
             self.parts.append(" ")
-        if tag in VOID or rest.endswith("/"):
+        # A slash at the end of an unquoted value is part of the value.
+        if tag in VOID or rest.endswith("/") and (rest[-2:-1].isspace() or rest[-2:-1] in ("", '"', "'")):
             return
         names = [f"in={tag}"]
         if "=" in rest:
             for found in NAMED.findall(rest):
                 names += [f"is={w}" for w in WORD.findall("".join(found).lower())]
         self.stack.append((tag, tuple(names)))
+        if tag in BLOCK:
+            self.within.append(tag)
         self.open[tag] += 1
         self.hidden += tag in HIDDEN
         for x in names:
@@ -108,6 +114,8 @@ class Reader:
 
     def pop(self) -> str:
         tag, names = self.stack.pop()
+        if tag in BLOCK:
+            self.within.pop()
         self.open[tag] -= 1
         self.hidden -= tag in HIDDEN
         for x in names:
@@ -148,7 +156,7 @@ class Reader:
         linked, self.parts, self.linked = self.linked, [], 0
         if not text:
             return
-        own = [f"own={next((t for t, _ in reversed(self.stack) if t in BLOCK), '')}", *text_features(text, linked)]
+        own = [f"own={self.within[-1]}", *text_features(text, linked)]
         if self.weights is None:
             self.blocks.append((text, [*self.active, *own]))
         else:

@@ -4,6 +4,7 @@ import hashlib
 import html
 import random
 import re
+import time
 import tracemalloc
 
 import duckdb
@@ -127,6 +128,27 @@ def test_account_codes_end_where_their_country_says(spark):
 # --- main text -----------------------------------------------------------------------------------------------------
 
 
+@pytest.mark.parametrize("page,blocks", [
+    ('<p title="a<b">Hello there</p>', ["Hello there"]), ('<p>x <img alt="5 < 6"> y</p>', ["x y"]), ('<div data-x="<i>q</i>">z</div>', ["z"]),
+    ("<p data='a>b<c'>k</p>", ["k"]), ("<a href=/x/>link</a> after", ["link after"]), ("<p title=don't>text</p> it's <b>ok</b>", ["text", "it's ok"]),
+    ('<a href="x>text</a><b class="y">bold</b>', ["textbold"]), ("<p>a <math><mi>x</mi></math> b</p>", ["a x b"]), ("<span/>q", ["q"]),
+    ('<p a="x"b="y<z">s</p>', ["s"]), ("a < b and c > d", ["a < b and c > d"]), ('<p x="unclosed>still here', ["still here"])])
+def test_attributes_leave_no_markup(page, blocks):
+    assert [t for t, _ in htmlcrf.Reader().read(page)] == blocks
+
+
+def test_a_slash_that_ends_a_value_does_not_end_the_link():
+    (_, names), = htmlcrf.Reader().read("<a href=/x/>all of it</a>")
+    assert "in=a" in names and "link=4" in names
+
+
+def test_many_open_elements_and_quotes_take_linear_time():
+    for part in ("<b>x", '<a b="', "<a b='", '<a ="<" ', "<b>x<p>y"):
+        start = time.process_time()
+        htmlcrf.Reader().read(part * 100_000)
+        assert time.process_time() - start < 20
+
+
 @pytest.fixture(scope="module")
 def page_model(spark, sf):
     return htmlcrf.fit(spark.read.parquet(f"{sf}/pages.parquet"))
