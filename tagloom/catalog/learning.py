@@ -101,7 +101,7 @@ def word_vectors(spark, sf):
     """The vectors, named after the distinct words of all texts: the most frequent word has the first one; equal counts by word."""
     e = ranking.dense_position(table(spark, sf, "embeddings").select("vec_id", "embedding"), ["vec_id"], "place")
     words = docs(spark, sf).select(F.explode(tx.words(F.col("description"))).alias("word")).groupBy("word").agg((-F.count(F.lit(1))).alias("minus"))
-    named = ranking.dense_position(words, ["minus", "word"], "place")
+    named = ranking.dense_position(written(words, "words"), ["minus", "word"], "place")
     return written(named.join(e, "place").select("word", F.col("embedding").alias("vec")), "named-vectors")
 
 
