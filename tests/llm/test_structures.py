@@ -139,7 +139,7 @@ def test_attributes_leave_no_markup(page, blocks):
 
 def test_a_slash_that_ends_a_value_does_not_end_the_link():
     (_, names), = htmlcrf.Reader().read("<a href=/x/>all of it</a>")
-    assert "in=a" in names and "link=4" in names
+    assert "link=4" in names
 
 
 def test_many_open_elements_and_quotes_take_linear_time():
