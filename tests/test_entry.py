@@ -7,7 +7,7 @@ import __spark_entry__ as entry
 from check import TABLES, compare
 
 CROSS_SECTION = ["clean_pipeline", "placeholder_counts", "scan_conllu", "cooccurrence", "top_words_per_label", "tfidf",
-                 "stratified_split", "predict_at_least_one", "classification_report", "metrics_by_length_quantile", "knn"]
+                 "stratified_split", "embed_lookup", "keyword_index", "lreg_optimum", "predict_at_least_one", "classification_report", "metrics_by_length_quantile", "knn"]
 
 
 def test_every_sql_belongs_to_a_query():
