@@ -19,13 +19,12 @@ _powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 def slices(texts: pa.Array, limit: int = SLICE_BYTES, rows: int = SLICE_ROWS) -> Iterator[pa.Array]:
     """Consecutive parts of a string array, each of at most ``limit`` bytes or one row; null reads as empty."""
-    texts = pc.fill_null(texts.cast(pa.large_string()), "")
-    ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
     at = 0
     while at < len(texts):
         done = ends[at - 1] if at else 0
         to = max(at + 1, min(int(np.searchsorted(ends, done + limit, "right")), at + rows))
-        yield texts.slice(at, to - at)
+        yield pc.fill_null(texts.slice(at, to - at).cast(pa.large_string()), "")  # only this part is copied
         at = to
 
 

@@ -24,6 +24,7 @@ import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -42,7 +43,7 @@ BLOCK = 128
 PERCENTILE = 0.9
 SHARD_TOKENS = 1 << 26
 READ_TOKENS = 1 << 20  # ids unpacked at once by a reader
-ENCODE_BYTES = 4 << 20
+ENCODE_BYTES = 1 << 20  # a slice takes about forty times as much for its pieces and places
 HEAD = 7  # bytes before the packed differences of a block
 
 
@@ -250,17 +251,18 @@ class PackedWriter(DataSourceArrowWriter):
         for batch in iterator:
             docs, lists = batch.column(0), batch.column(1)
             counts = np.diff(np.asarray(lists.offsets)).astype(np.int64)
-            ids = lists.flatten().to_numpy(zero_copy_only=False).astype(np.uint32)
+            ids = lists.flatten().to_numpy(zero_copy_only=False).view(np.uint32)
             ends = np.cumsum(counts)
             at = 0
             while at < len(docs):
                 if shard is None:
                     shard = ShardWriter(f"{self.path}/{uuid.uuid4().hex}.pfor", self.percentile, self.block)
                 done = ends[at - 1] if at else 0
-                to = max(at + 1, int(np.searchsorted(ends, done + self.limit - shard.tokens, "right")))
+                # Packed in parts of READ_TOKENS ids, whatever the size of the batch.
+                to = max(at + 1, int(np.searchsorted(ends, done + min(self.limit - shard.tokens, READ_TOKENS), "right")))
                 shard.add(docs.slice(at, to - at), ids[done : ends[to - 1]], counts[at:to])
                 at = to
-                if shard.tokens >= self.limit or at < len(docs):
+                if shard.tokens >= self.limit or at < len(docs) and shard.tokens + counts[at] > self.limit:
                     shards.append(shard.close())
                     shard = None
         if shard is not None:
@@ -339,7 +341,7 @@ LETTERS[[*range(65, 91), *range(97, 123)]] = True
 SIGNS = np.zeros(256, bool)
 SIGNS[[x for x in range(33, 127) if not chr(x).isalnum() and chr(x) not in "'|<>"]] = True
 GROUP = 128  # pieces that go to the library as one text
-CACHED = 1 << 19
+CACHED = 1 << 18
 
 
 class Pieces:
@@ -389,7 +391,7 @@ class Pieces:
 
     def look_up(self, pieces: list[str], single: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids on end and their number per piece, from the known pieces and the library."""
-        place = np.fromiter((self.known.get(x, -1) for x in pieces), np.int64, len(pieces))
+        place = np.fromiter(map(self.known.get, pieces, repeat(-1)), np.int64, len(pieces))
         new = np.flatnonzero(place < 0)
         ids, many = self.encode([pieces[i] for i in new], single[new])
         start, count = np.empty(len(pieces), np.int64), np.empty(len(pieces), np.int64)
@@ -399,7 +401,7 @@ class Pieces:
         source = np.concatenate([self.flat[: self.used], ids])
         if (room := min(len(new), CACHED - len(self.known))) > 0:
             at = len(self.known)
-            self.known.update((pieces[i], at + k) for k, i in enumerate(new[:room].tolist()))
+            self.known.update(zip([pieces[i] for i in new[:room].tolist()], range(at, at + room)))
             self.start[at : at + room], self.count[at : at + room] = start[new[:room]], many[:room]
             self.flat, self.used = source, self.used + int(many[:room].sum())
         done = np.cumsum(count)
@@ -453,7 +455,7 @@ def encode_texts(model_file: str, texts: pa.Array, end_id: int) -> tuple[np.ndar
     run = coded.indices.to_numpy()
     alone = np.empty(len(coded.dictionary), bool)
     alone[run] = single  # equal pieces are of one kind
-    known, counts = tokenizer(model_file).look_up(coded.dictionary.to_pylist(), alone)
+    known, counts = tokenizer(model_file).look_up(coded.dictionary.to_numpy(zero_copy_only=False).tolist(), alone)
     many = counts[run]
     done = np.cumsum(many)
     step = np.arange(int(done[-1])) - np.repeat(done - many, many)
@@ -470,8 +472,8 @@ def encode(text: Column | str, model_file: str, end_id: int) -> Column:
     @F.arrow_udf("array<int>")
     def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            parts = [arrays.list_array(*encode_texts(model_file, x, end_id), pa.int32()) for x in arrays.slices(batch, ENCODE_BYTES)]
-            yield arrays.joined(parts, pa.list_(pa.int32()))
+            for x in arrays.slices(batch, ENCODE_BYTES):  # each goes out at once, so a batch never lies whole beside its ids
+                yield arrays.list_array(*encode_texts(model_file, x, end_id), pa.int32())
 
     return ids(text)
 

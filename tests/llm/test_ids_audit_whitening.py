@@ -3,6 +3,7 @@
 import json
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 from itertools import permutations
@@ -25,6 +26,21 @@ def word_model():
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def test_encoding_holds_a_slice_and_not_the_batch(word_model):
+    rng = random.Random(3)
+    texts = pa.array([" ".join(f"w{rng.randrange(40000)}" for _ in range(3000)) for _ in range(400)])
+    before = pa.total_allocated_bytes()
+    parts = arrays.slices(texts, 1 << 20)
+    assert len(next(parts)) < 100 and pa.total_allocated_bytes() - before < 3 << 20
+    packedids.tokenizer(word_model)
+    tracemalloc.start()
+    for x in arrays.slices(texts, packedids.ENCODE_BYTES):
+        packedids.encode_texts(word_model, x, 1)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 80 << 20
+
+
 @pytest.mark.parametrize("block", [8, 128, 256])
 @pytest.mark.parametrize("percentile", [0.01, 0.5, 0.9, 1.0])
 def test_blocks_round_trip(block, percentile):
