@@ -4,6 +4,7 @@ import random
 from itertools import combinations
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.functions import array_to_vector
@@ -130,6 +131,28 @@ def test_queries_that_meet_too_few_points_are_searched_exactly(spark):
         hashed.Tables(probes=0)
 
 
+def test_vectors_are_written_once_and_noise_is_searched_exactly(spark, monkeypatch):
+    kept = []
+    for module in (hashed, neighbours):
+        monkeypatch.setattr(module, "written", lambda df, name, put=module.written: kept.append((name, put(df, name))) or kept[-1][1])
+    rng = np.random.default_rng(9)
+    assert recall(spark, rng.normal(size=(300, 16)), 3) == 1.0  # the tables would compare more pairs than there are
+    rows = {name: df.count() for name, df in kept}
+    assert rows["buckets"] == rows["probes"] == 300 and "hashed" not in rows
+
+
+def test_a_large_block_is_searched_in_slices(monkeypatch):
+    rng = np.random.default_rng(10)
+    x, y = rng.normal(size=(50, 4)), rng.normal(size=(90, 4))
+    p, q = ({"id": np.arange(len(z)), "indices": None, "values": list(z)} for z in (y, x))
+    run = neighbours.search_block(3, False, False)
+    want = run(pd.DataFrame(q), pd.DataFrame(p))
+    held = []
+    monkeypatch.setattr(neighbours, "SLICE_VALUES", 400)
+    monkeypatch.setattr(neighbours, "distances", lambda a, b, of=neighbours.distances: held.append(a.n * b.n) or of(a, b))
+    assert run(pd.DataFrame(q), pd.DataFrame(p)).equals(want) and max(held) <= 400 and len(want) == 150
+
+
 def test_smote_with_hashed_neighbours(spark):
     rng = np.random.default_rng(7)
     x = rng.normal(size=(40, 3))
