@@ -12,6 +12,7 @@ from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tagloom.catalog import learning
 from tagloom.operators import balance, decide, hashed, keywords, linear, models, neighbours, quota, sketch, stages, wordblocks
 from tagloom.plans import experiments
 from tagloom.session import scratch_path
@@ -341,3 +342,10 @@ def test_words_that_occur_together_end_near_each_other(spark, block_words):
     other = np.mean([unit[a] @ unit[b] for a in topics[0] for b in topics[1] + topics[2]])
     assert same > other + 0.1
     assert wordblocks.train_word_blocks(df.where("id > 899")).count() == 0
+
+
+def test_both_binary_rules_share_one_model(spark, sf, monkeypatch):
+    fits = []
+    monkeypatch.setattr(models, "fit_multilabel", lambda *a, of=models.fit_multilabel, **k: fits.append(a[1]) or of(*a, **k))
+    got = learning.run_binary(spark, sf)
+    assert fits == [["en"]] and sorted(r["rule"] for r in got.collect()) == ["boosted", "plain"]
