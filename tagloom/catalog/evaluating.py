@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tagloom.catalog.tables import (DIGITS, binary_docs, cte, decided, doc_scored, doc_vocabulary, docs, items,
-                                    order_ids, order_proba, order_scored, order_vocabulary, query,
+                                    order_ids, order_proba, order_scored, order_scores, order_vocabulary, query,
                                     rnd, sql_words)
 from tagloom.functions import labels as lb
 from tagloom.functions import text as tx
 from tagloom.operators import decide, evaluate, ranking
 from tagloom.plans import reports
-from tagloom.session import scratch_path
+from tagloom.session import scratch_path, written
 from tagloom.sources import csvfiles
 
 
@@ -290,8 +290,7 @@ from grid g join hard h using (id, label) group by g.label""", "grid", "hard")
 def order_threshold(spark, sf):
     """(id, y_true, y_pred, y_hard): two predictions of the same orders."""
     names = order_vocabulary(spark, sf)
-    hot = decide.predict_threshold(order_proba(spark, sf))
-    hard = hot.select("id", lb.decode_labels(F.col("pred"), names).alias("y_hard"))
+    hard = decide.labels_over(order_scores(spark, sf), order_ids(spark, sf), name="y_hard")
     return order_scored(spark, sf).join(hard, "id"), names
 
 
@@ -301,6 +300,7 @@ from (select label, {PRECISION} as precision, {RECALL} as recall from conf) a
 join (select label, {PRECISION} as precision, {RECALL} as recall from conf2) b using (label)""", ("conf", "conf2"))
 def compare_runs(spark, sf):
     both, names = order_threshold(spark, sf)
+    both = written(both, "decisions")  # two runs, each counted and summed
     metrics = ("precision", "recall")
     a = evaluate.metrics_per_label(both, names, metrics)
     b = evaluate.metrics_per_label(both.select("id", "y_true", F.col("y_hard").alias("y_pred")), names, metrics)

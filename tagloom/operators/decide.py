@@ -40,6 +40,17 @@ def predict_threshold(df: DataFrame, threshold: float = PROBABILITY_THRESHOLD,
     return df.withColumn(name, over(F.col(proba), threshold, strict=False))
 
 
+def labels_over(long: DataFrame, ids: DataFrame, threshold: float = PROBABILITY_THRESHOLD, value: str = "p",
+                name: str = "labels") -> DataFrame:
+    """(id, sorted names) of every id: the decoded predict_threshold of the dense scores, straight from long (id, label, value).
+    No array over the vocabulary is made, so the threshold must be positive, as absent scores are 0."""
+    if threshold <= 0:
+        raise ValueError("the threshold must be positive")
+    hits = long.select("id", F.when(F.col(value) >= threshold, F.col("label")).alias("label"))
+    every = hits.unionByName(ids.select("id", F.lit(None).cast("string").alias("label")))
+    return every.groupBy("id").agg(F.array_sort(F.collect_set("label")).alias(name))
+
+
 def predict_at_least_one(df: DataFrame, threshold: float = PROBABILITY_THRESHOLD,
                          proba: str = "proba", name: str = "pred") -> DataFrame:
     """Records without a hit get every label whose probability equals the row maximum."""

@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tagloom.functions.labels import decode_labels
 from tagloom.operators import decide, evaluate
 
 NAMES = ["a", "b", "c", "d"]
@@ -122,3 +123,14 @@ def test_extreme_samples(spark):
     bad = evaluate.binary_bad_samples(df, 4).collect()
     assert [r["id"] for r in bad if r["side"] == "high"] == [1, 3]
     assert [r["id"] for r in bad if r["side"] == "low"] == [8, 6]
+
+
+def test_labels_over_equal_the_dense_rule(spark):
+    long = spark.createDataFrame([(1, "b", 0.5), (1, "a", 0.5), (2, "c", 0.49), (3, "a", None), (3, "b", 0.9), (5, "c", float("nan"))], "id long, label string, p double")
+    ids = spark.createDataFrame([(i,) for i in range(1, 6)], "id long")
+    names = ["a", "b", "c"]
+    dense = decide.predict_threshold(decide.dense_scores(long, names, ids)).select("id", decode_labels(F.col("pred"), names).alias("labels"))
+    got = {r["id"]: r["labels"] for r in decide.labels_over(long, ids).collect()}
+    assert got == {r["id"]: r["labels"] for r in dense.collect()} and got[1] == ["a", "b"] and got[4] == []
+    with pytest.raises(ValueError):
+        decide.labels_over(long, ids, 0.0)
