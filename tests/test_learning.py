@@ -306,3 +306,17 @@ def test_reports_hold_every_section(spark):
     assert [r["value"] for r in seen if r["section"] == "combination"] == [1.0]
     nothing = reports.exploration_report(rows.where("false").withColumnRenamed("y_true", "labels")).where("value > 0").collect()
     assert nothing == []
+
+
+def test_word_counts_of_shared_ids(spark):
+    rows = [(1, "a b a"), (2, "b"), (1, "a c"), (None, "d"), (None, "d e"), (3, None), (4, "")]
+    got = features.word_counts(spark.createDataFrame(rows, "id long, description string")).collect()
+    assert {(r["id"], r["word"]): r["n"] for r in got} == {
+        (1, "a"): 3, (1, "b"): 1, (1, "c"): 1, (2, "b"): 1, (None, "d"): 2, (None, "e"): 1} and len(got) == 6
+
+
+def test_looked_up_words_are_not_shuffled(spark, sf):
+    from tagloom.catalog import learning
+
+    plan = learning.embed_lookup(spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "HashAggregate" not in plan
