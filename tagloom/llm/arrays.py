@@ -19,6 +19,8 @@ _powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 def slices(texts: pa.Array, limit: int = SLICE_BYTES, rows: int = SLICE_ROWS) -> Iterator[pa.Array]:
     """Consecutive parts of a string array, each of at most ``limit`` bytes or one row; null reads as empty."""
+    if pa.types.is_null(texts.type):
+        texts = texts.cast(pa.large_string())
     ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
     at = 0
     while at < len(texts):
