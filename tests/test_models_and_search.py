@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tagloom.catalog import learning
-from tagloom.operators import balance, decide, hashed, keywords, linear, models, neighbours, quota, sketch, stages, wordblocks
+from tagloom.operators import balance, decide, features, hashed, keywords, linear, models, neighbours, quota, sketch, stages, wordblocks
 from tagloom.plans import experiments
 from tagloom.session import scratch_path
 
@@ -344,6 +344,33 @@ def test_words_that_occur_together_end_near_each_other(spark, block_words):
     assert wordblocks.train_word_blocks(df.where("id > 899")).count() == 0
 
 
+@pytest.mark.parametrize("blocks", [1, 2, 3])
+def test_packed_pairs_equal_those_counted_one_by_one(spark, blocks, monkeypatch):
+    monkeypatch.setattr(wordblocks, "PACKED", 2)
+    texts = ["a b c a d", "b b zz a c c e", None, "", "e"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, description string")
+    words = spark.createDataFrame([(w, i) for i, w in enumerate("abcde")], "word string, place long")
+    got, want = {}, {}
+    lists = wordblocks.near_lists(df, words, "description", F.lit(0.5))
+    for r in wordblocks.near_pairs(lists, 2, blocks).collect():
+        for a, b, w in np.frombuffer(r["data"], wordblocks.PAIR):
+            key = (int(a) * blocks + r["block"], int(b) * blocks + (r["block"] + r["turn"]) % blocks)
+            assert key not in got
+            got[key] = float(w)
+    for text in texts:
+        p = ["abcde".index(x) for x in (text or "").split() if x != "zz"]
+        for i, d in ((i, d) for i in range(len(p)) for d in (1, 2) if i + d < len(p)):
+            for key in {(p[i], p[i + d]), (p[i + d], p[i])}:
+                want[key] = want.get(key, 0) + (3 - d) / 2 * 0.25
+    assert got == pytest.approx(want)
+
+
+def test_rounds_do_not_grow_with_a_vocabulary_of_some_hundred_thousand_words():
+    assert [wordblocks.block_count(n, 48, None) for n in (10, 5000, 78_778, 314_422, 901_737)] == [1, 2, 16, 16, 16]
+    assert wordblocks.block_count(100, 48, 12) == 9
+    assert -(-10**7 // wordblocks.block_count(10**7, 100, None)) * 800 <= wordblocks.BLOCK_BYTES
+
+
 def test_both_binary_rules_share_one_model(spark, sf, monkeypatch):
     fits = []
     monkeypatch.setattr(models, "fit_multilabel", lambda *a, of=models.fit_multilabel, **k: fits.append(a[1]) or of(*a, **k))
