@@ -371,6 +371,14 @@ def test_rounds_do_not_grow_with_a_vocabulary_of_some_hundred_thousand_words():
     assert -(-10**7 // wordblocks.block_count(10**7, 100, None)) * 800 <= wordblocks.BLOCK_BYTES
 
 
+def test_a_large_vocabulary_is_not_trained_on_the_driver(spark, monkeypatch):
+    monkeypatch.setattr(features, "DRIVER_VALUES", 12)
+    monkeypatch.setattr("pyspark.ml.feature.Word2Vec", None)
+    df = spark.createDataFrame([(i, "a b c d rare" if i == 0 else "a b c d") for i in range(6)], "id long, description string")
+    got = features.train_word_vectors(df, vector_size=4, epochs=1).collect()
+    assert sorted((r["word"], len(r["vec"])) for r in got) == [(w, 4) for w in "abcd"]
+
+
 def test_both_binary_rules_share_one_model(spark, sf, monkeypatch):
     fits = []
     monkeypatch.setattr(models, "fit_multilabel", lambda *a, of=models.fit_multilabel, **k: fits.append(a[1]) or of(*a, **k))
