@@ -295,6 +295,20 @@ def test_out_of_fold_predicts_every_record_unseen(spark):
         split.out_of_fold(df, fit_predict, 1)
 
 
+def test_out_of_fold_bayes_equals_a_model_per_fold(spark):
+    rows = [(i, " ".join(["aa", "bb", "cc", "dd"][j % 4] for j in range(i, i + 1 + i % 5)) if i % 7 else None, ["x" if i % 3 else "y"]) for i in range(30)]
+    df = spark.createDataFrame(rows, "id long, description string, labels array<string>")
+    names, tf = ["x", "y"], features.count_vectorize(df)
+
+    def fit_predict(train, test):
+        model = models.bayes_fit(tf.join(train.select("id", "labels"), "id"), names)
+        return models.bayes_proba(tf.join(test.select("id"), "id", "left_semi"), test, model, models.bayes_priors(train, names), names)
+
+    want = {(r["id"], r["label"], r["fold"]): r["p"] for r in split.out_of_fold(df.select("id", "labels"), fit_predict, 3).collect()}
+    got = {(r["id"], r["label"], r["fold"]): r["p"] for r in models.bayes_out_of_fold(df, names, 3).collect()}
+    assert len(got) == 60 and got == pytest.approx(want)
+
+
 def test_reports_hold_every_section(spark):
     rows = spark.createDataFrame([(1, ["a", "b"], ["a"], "one two"), (2, ["b"], ["b"], "three"), (3, [], ["a"], None)],
                                  "id long, y_true array<string>, y_pred array<string>, description string")
