@@ -11,9 +11,10 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
@@ -38,61 +39,56 @@ class SparseAxes:
         """(id, projection array<double>) of every id; rows without known columns stand at minus the mean."""
         if not len(self.offset):
             return ids.select("id", F.array().cast("array<double>").alias("projection"))
-        y = dotted(cells, self.axes, "axis")
+        y = dotted(cells, self.axes, "axis", len(self.offset))
         zero = F.array_repeat(F.lit(0.0), len(self.offset))
         shifted = F.zip_with(F.coalesce("y", zero), F.lit(self.offset.tolist()), lambda a, b: a - b)
         return ids.select("id").join(y, "id", "left").select("id", shifted.alias("projection"))
 
 
-def summed(factor: str, vector: str) -> Column:
-    """Sum of the arrays ``vector``, each times its number ``factor``, added up in the map tasks."""
-    return vector_to_array(Summarizer.sum(array_to_vector(F.transform(vector, lambda x: x * F.col(factor)))))
+def summed(factor: str, vector: str, size: int) -> Column:
+    """Sum of the arrays ``vector`` of ``size`` numbers, each times its number ``factor``: plain sums, as Summarizer sorts its
+    rows where there are many groups."""
+    return F.array(*[F.sum(F.get(vector, k) * F.col(factor)) for k in range(size)])
 
 
-def mean_of(basis: DataFrame, means: DataFrame, width: int) -> np.ndarray:
-    """The mean row times the vectors of the columns."""
-    found = basis.join(means, "column").groupBy(F.lit("all").alias("g")).agg(summed("mean", "z").alias("s")).first()
-    return np.array(found["s"]) if found else np.zeros(width)
-
-
-def dotted(cells: DataFrame, columns: DataFrame, vector: str) -> DataFrame:
-    """(id, y): the rows times a table of vectors by column."""
+def dotted(cells: DataFrame, columns: DataFrame, vector: str, size: int) -> DataFrame:
+    """(id, y): the rows times a table of vectors of ``size`` numbers by column."""
     met = cells.join(columns.select("column", F.col(vector).alias("_v")), "column")
-    return met.groupBy("id").agg(summed("value", "_v").alias("y"))
+    return met.groupBy("id").agg(summed("value", "_v", size).alias("y"))
 
 
 def moments(rows: DataFrame, vector: str, size: int, centre: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Sum of the vectors and sum of their outer products (after taking off ``centre``): one small matrix per task."""
     shift = np.zeros(size) if centre is None else centre
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((size + 1, size))
-        for pdf in batches:
-            if len(pdf):
-                x = np.stack(pdf[vector].to_list()) - shift
-                total[0] += x.sum(axis=0)
-                total[1:] += x.T @ x
-        yield pd.DataFrame({"i": np.arange(size + 1), "row": list(total)})
-
-    parts = rows.select(vector).mapInPandas(run, "i int, row array<double>").groupBy("i").agg(vector_to_array(Summarizer.sum(array_to_vector("row"))).alias("row"))
+        for batch in batches:
+            x = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(-1, size) - shift
+            total[0] += x.sum(axis=0)
+            total[1:] += x.T @ x
+        yield pa.RecordBatch.from_pydict({"i": pa.array(range(size + 1), pa.int32()), "row": pa.array(list(total), pa.list_(pa.float64()))})
+
+    parts = rows.select(vector).mapInArrow(run, "i int, row array<double>").groupBy("i").agg(vector_to_array(Summarizer.sum(array_to_vector("row"))).alias("row"))
     found = np.array([r["row"] for r in sorted(parts.collect())]).reshape(-1, size)
     return (found[0], found[1:]) if len(found) else (np.zeros(size), np.zeros((size, size)))
 
 
-def orthonormal(table: DataFrame, size: int) -> tuple[DataFrame, int]:
-    """The column vectors of a table of short rows, made orthonormal; directions within rounding of the others go."""
+def orthonormal(table: DataFrame, size: int) -> np.ndarray:
+    """The small matrix that makes the column vectors of a table of short rows orthonormal; directions within rounding of the
+    others go."""
     _, gram = moments(table, "z", size)
     e, v = np.linalg.eigh(gram)
     keep = e > max(e.max(initial=0), 0) * 1e-12
-    turn = v[:, keep] / np.sqrt(e[keep])
-    return turned(table, "z", turn, "z"), int(keep.sum())
+    return v[:, keep] / np.sqrt(e[keep])
 
 
-def turned(table: DataFrame, vector: str, turn: np.ndarray, name: str) -> DataFrame:
-    """Short rows times a small matrix."""
-    columns = [F.lit(c.tolist()).cast("array<double>") for c in turn.T]
-    dots = [F.aggregate(F.zip_with(vector, c, lambda a, b: a * b), F.lit(0.0), lambda s, x: s + x) for c in columns]
-    return table.select("column", F.array(*dots).alias(name))
+def turned(vector: str, turn: np.ndarray, shift: np.ndarray | None = None) -> Column:
+    """A short row times a small matrix, less ``shift``."""
+    parts = [reduce(lambda a, b: a + b, [F.get(vector, i) * float(x) for i, x in enumerate(c)]) for c in turn.T]
+    if shift is not None:
+        parts = [p - float(x) for p, x in zip(parts, shift)]
+    return F.array(*parts).cast("array<double>")
 
 
 def fit(cells: DataFrame, ids: DataFrame, k: int = 2, passes: int = 2, extra: int = EXTRA, seed: int = 1) -> SparseAxes:
@@ -101,36 +97,41 @@ def fit(cells: DataFrame, ids: DataFrame, k: int = 2, passes: int = 2, extra: in
     n = float(ids.count())
     cells = written(cells.select("id", "column", F.col("value").cast("double").alias("value")), "cells")
 
-    def directions(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            yield pd.DataFrame({"column": pdf["column"], "z": list(gaussians(pdf["h"].to_numpy(), size, seed))})
-
-    means = cells.groupBy("column").agg((F.sum("value") / n).alias("mean"), F.sum(F.col("value") ** 2).alias("sq"))
-    means = written(means, "column-means")
-    kind = cells.schema["column"].dataType.simpleString()
-    basis = means.select("column", F.xxhash64("column").alias("h")).mapInPandas(directions, f"column {kind}, z array<double>")
-    width = size
+    def directions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            g = gaussians(batch.column("h").to_numpy(), size, seed)
+            z = pa.FixedSizeListArray.from_arrays(pa.array(g.ravel()), size).cast(pa.list_(pa.float64()))
+            yield pa.RecordBatch.from_arrays([batch.column("column"), z], names=["column", "z"])
+
+    # Columns get numbers once, so that the passes neither shuffle nor compare names.
+    names = cells.groupBy("column").agg((F.sum("value") / n).alias("mean"), F.sum(F.col("value") ** 2).alias("sq"))
+    names = written(names.withColumn("number", F.monotonically_increasing_id()), "columns")
+    total = names.agg(F.sum(F.col("sq") - n * F.col("mean") ** 2).alias("t")).first()["t"] or 0.0
+    cells = written(cells.join(names.select("column", "number"), "column").select("id", F.col("number").alias("column"), "value"), "numbered")
+    basis = names.select(F.col("number").alias("column"), F.xxhash64("column").alias("h")).mapInArrow(directions, "column bigint, z array<double>")
+    turn = np.eye(size)
     for _ in range(max(passes, 1)):
-        basis = written(basis, "basis")
-        # Centring takes the product of the means with the directions off every row, and the rows then add up to 0.
-        shift = mean_of(basis, means, width)
-        y = dotted(cells, basis, "z").withColumn("y", F.zip_with("y", F.lit(shift.tolist()), lambda a, b: a - b))
-        y = written(y, "sketch")
+        # The vectors of the columns are ``z`` times ``turn``, which is left to the rows. Centring takes the mean of the
+        # products off every row, and the rows then add up to 0.
+        y = written(dotted(cells, basis, "z", size), "products")
+        shift = moments(y, "y", size)[0] / n @ turn
+        y = y.select("id", turned("y", turn, shift).alias("y"))
         # Rows without cells lie at minus the shift; they add nothing to the products with the cells.
-        z = cells.join(y, "id").groupBy("column").agg(summed("value", "y").alias("z"))
-        basis, width = orthonormal(written(z, "range"), width)
-        if not width:  # no rows, or all alike
-            return SparseAxes(basis.select("column", F.col("z").alias("axis")), np.zeros(0), np.zeros(0), 0.0)
-    basis = written(basis, "range")
-    offset = mean_of(basis, means, width)
-    y = dotted(cells, basis, "z")
-    some = y.agg(F.count(F.lit(1)).alias("c")).first()["c"]
-    _, products = moments(y, "y", width, offset)
-    products = products + (n - some) * np.outer(offset, offset)
+        size = turn.shape[1]
+        basis = written(cells.join(y, "id").groupBy("column").agg(summed("value", "y", size).alias("z")), "range")
+        turn = orthonormal(basis, size)
+        if not turn.shape[1]:  # no rows, or all alike
+            none = names.limit(0).select("column", F.array().cast("array<double>").alias("axis"))
+            return SparseAxes(none, np.zeros(0), np.zeros(0), 0.0)
+    y = written(dotted(cells, basis, "z", size), "products")
+    centre = moments(y, "y", size)[0] / n
+    _, products = moments(y, "y", size, centre)
+    products = turn.T @ (products + (n - y.count()) * np.outer(centre, centre)) @ turn
+    offset = centre @ turn
     e, v = np.linalg.eigh(products / max(n - 1, 1))
     order = np.argsort(-e)[:k]
-    total = means.agg(F.sum(F.col("sq") - n * F.col("mean") ** 2).alias("t")).first()["t"] or 0.0
     # The sign of an axis: its entries add up to a positive number, as far as the projection of the mean tells.
-    turn = v[:, order]
-    turn = turn * np.where(offset @ turn < 0, -1, 1)
-    return SparseAxes(written(turned(basis, "z", turn, "axis"), "axes"), offset @ turn, e[order], float(total) / max(n - 1, 1))
+    last = v[:, order]
+    last = last * np.where(offset @ last < 0, -1, 1)
+    axes = basis.select(F.col("column").alias("number"), turned("z", turn @ last).alias("axis")).join(names.select("number", "column"), "number")
+    return SparseAxes(written(axes.select("column", "axis"), "axes"), offset @ last, e[order], float(total) / max(n - 1, 1))

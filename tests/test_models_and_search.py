@@ -228,6 +228,20 @@ def test_axes_of_empty_and_of_constant_rows(spark):
     assert sketch.fit(same, ids).total == pytest.approx(0)
 
 
+def test_products_with_many_columns_are_neither_sorted_nor_kept_by_name(spark, monkeypatch):
+    kept = {}
+    monkeypatch.setattr(sketch, "written", lambda df, name, put=sketch.written: kept.setdefault(name, put(df, name)))
+    columns = spark.range(3).select(F.concat(F.lit("c"), "id").alias("column"), F.array(F.col("id") + 1.0, F.col("id") * 2.0).alias("v"))
+    cells = spark.createDataFrame([(1, "c0", 2.0), (1, "c2", 1.0), (2, "c1", -1.0)], "id long, column string, value double")
+    y = sketch.dotted(cells, columns, "v", 2)
+    assert {r["id"]: r["y"] for r in y.collect()} == {1: [5.0, 4.0], 2: [-2.0, -2.0]}
+    plan = y._jdf.queryExecution().executedPlan().toString()
+    assert "ObjectHashAggregate" not in plan and "SortAggregate" not in plan
+    found = sketch.fit(cells, spark.range(1, 4), 2)
+    assert kept["range"].schema["column"].dataType.simpleString() == "bigint"
+    assert {r["column"] for r in found.axes.collect()} == {"c0", "c1", "c2"}
+
+
 # --- stages --------------------------------------------------------------------------------------------------------
 
 TEXTS = [("red apple pie", ["fruit"]), ("green apple", ["fruit", "green"]), ("green car green", ["green"]), ("", []), ("blue car", []), ("apple apple car", ["fruit"])]
