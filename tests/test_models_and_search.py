@@ -242,6 +242,14 @@ def test_products_with_many_columns_are_neither_sorted_nor_kept_by_name(spark, m
     assert {r["column"] for r in found.axes.collect()} == {"c0", "c1", "c2"}
 
 
+def test_packed_rows_of_one_partition_are_dealt_to_all_cores(spark):
+    one = F.array(F.lit(1).cast("tinyint"))
+    rows = spark.range(64).coalesce(1).select(array_to_vector(F.array(F.col("id").cast("double"))).alias("features"), one.alias("y"), one.alias("copies"), F.lit(-1).alias("only"))
+    blocks = linear.pack(rows)
+    assert len(blocks.inputFiles()) == min(spark.sparkContext.defaultParallelism, 64)
+    assert blocks.agg(F.sum("n")).first()[0] == 64
+
+
 # --- stages --------------------------------------------------------------------------------------------------------
 
 TEXTS = [("red apple pie", ["fruit"]), ("green apple", ["fruit", "green"]), ("green car green", ["green"]), ("", []), ("blue car", []), ("apple apple car", ["fruit"])]
