@@ -338,6 +338,17 @@ def test_keyword_index_equals_contains(spark):
             assert share.get((i, label), 0.0) == pytest.approx(sum(w in t for w in own) / len(own))
 
 
+def test_keyword_index_writes_nothing_that_grows_with_the_texts(spark, monkeypatch):
+    kept = []
+    monkeypatch.setattr(keywords, "written", lambda df, name, put=keywords.written: kept.append(put(df, name)) or kept[-1])
+    table = spark.createDataFrame([("needle",), ("é",), ("",), ("ee",), ("nee zz",)], "keyword string")
+    df = spark.range(300).select("id", F.concat(F.lit("a NEEDLE "), F.col("id").cast("string"), F.when(F.col("id") == 7, "É")).alias("description"))
+    df = df.unionByName(spark.range(300, 600).select("id", F.concat(F.lit("no nee dle "), F.col("id").cast("string")).alias("description")))
+    got = sorted((r["id"], r["keyword"]) for r in keywords.keyword_hits(df, table).collect())
+    assert got == sorted([(7, "needle"), (7, "é"), (7, "ee"), (7, "")] + [(i, k) for i in range(300, 600) for k in ("ee", "")])
+    assert sum(t.count() for t in kept) < 30
+
+
 def test_boost_by_table_equals_boost_by_lists(spark):
     lists = {"x": ["red", "a"], "y": ["blue"], "z": []}
     df = spark.createDataFrame([(1, "Red car", [0.1, 0.2, 0.3]), (2, "blue", [0.5, 0.5, 0.5]), (3, "", [0.0, 0.0, 0.0])], "id long, description string, proba array<double>")
