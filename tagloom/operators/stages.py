@@ -15,7 +15,7 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsReader, DefaultP
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagloom.operators import features, models
+from tagloom.operators import features, forest, models
 from tagloom.operators.linear import LinearModel
 from tagloom.session import written
 
@@ -136,7 +136,8 @@ class PerLabelModel(Model, LabelParams, MLReadable, MLWritable):
 
     def write(self) -> MLWriter:
         m = self.fitted
-        extra = {"name": m.name, "odds": m.odds, "models": {v: len(m.models[v]) for v in m.vocabulary}}
+        extra = {"name": m.name, "odds": m.odds, "models": {v: len(m.models[v]) for v in m.vocabulary},
+                 "forests": any(isinstance(model, forest.Forest) for v in m.vocabulary for model in m.models[v])}
         return StageWriter(self, extra, lambda path: save_models(m, path))
 
     @classmethod
@@ -160,6 +161,8 @@ def load_models(spark: SparkSession, path: str, extra: dict) -> models.MultiLabe
     if extra["name"] == "lreg":
         found = sorted(spark.read.parquet(f"{path}/coefficients").collect())  # a row per label
         loaded = {names[r["place"]]: [LinearModel(DenseVector(np.array(r["coefficients"])), r["intercept"])] for r in found}
+    elif extra.get("forests"):
+        loaded = {v: [forest.load(spark, f"{path}/models/{i}/0")] for i, v in enumerate(names)}
     else:
         loaded = {v: [DefaultParamsReader.loadParamsInstance(f"{path}/models/{i}/{j}", spark) for j in range(extra["models"][v])]
                   for i, v in enumerate(names)}
