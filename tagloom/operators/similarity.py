@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tagloom.functions.labels import safe_ratio
-from tagloom.operators.features import idf
+from tagloom.operators.features import idf, label_tfidf_sums
 from tagloom.operators.ranking import top_per_group
 from tagloom.session import written
 
@@ -27,24 +27,15 @@ def label_superdoc_tfidf(counts: DataFrame, sublinear: bool = True) -> DataFrame
     return w.join(norm, "label").select("label", "term", (F.col("w") / F.col("_norm")).alias("weight"))
 
 
-def label_avg_tfidf(weights: DataFrame, labels: DataFrame) -> DataFrame:
-    """(label, term, weight): mean of the record vectors of each label."""
-    sums = label_sums(weights, labels, F.col("weight"), "w")
+def label_avg_tfidf(records: DataFrame, sublinear: bool = True) -> DataFrame:
+    """(label, term, weight): mean of the TF-IDF vectors of the records (description, labels) of each label. The counts of a
+    text carry its labels, so they are never joined with the records."""
+    sums, labels = label_tfidf_sums(records, sublinear), records.select("labels")
     n = labels.groupBy("labels").agg(F.count(F.lit(1)).alias("n")) \
         .select(F.explode("labels").alias("label"), "n").groupBy("label").agg(F.sum("n").alias("n"))
     return sums.join(n, "label").select("label", "term", (F.col("w") / F.col("n")).alias("weight"))
 
 
-def label_sums(values: DataFrame, labels: DataFrame, value: Column, name: str) -> DataFrame:
-    """Sum a per-(id, term) value over the records of each label, first per distinct label
-    combination, then per label."""
-    per_combination = values.join(labels.select("id", "labels"), "id").groupBy("labels", "term").agg(
-        F.sum(value).alias("_s")
-    )
-    return per_combination.select(F.explode("labels").alias("label"), "term", "_s") \
-        .groupBy("label", "term").agg(F.sum("_s").alias(name))
-
-
 def top_features(weights: DataFrame, k: int = 10) -> DataFrame:
     """(label, rank, term, weight): the k largest weights of each label, ties by term."""
     return top_per_group(weights, ["label"], [F.desc("weight"), F.asc("term")], k)
