@@ -1,6 +1,8 @@
 """Shared-pass logistic models, hashed neighbours, quota splits, sparse axes, stages, ledger, keyword index, word blocks."""
 
+import os
 import random
+import zlib
 from itertools import combinations
 
 import numpy as np
@@ -12,10 +14,11 @@ from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tagloom import session
 from tagloom.catalog import learning
 from tagloom.operators import balance, decide, features, hashed, keywords, linear, models, neighbours, quota, sketch, stages, wordblocks
 from tagloom.plans import experiments
-from tagloom.session import scratch_path
+from tagloom.session import scratch_path, written
 
 # --- logistic models -----------------------------------------------------------------------------------------------
 
@@ -398,6 +401,52 @@ def test_packed_pairs_equal_those_counted_one_by_one(spark, blocks, monkeypatch)
     assert got == pytest.approx(want)
 
 
+def files_of_blocks(spark):
+    return spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().size()
+
+
+def test_written_tables_leave_no_shuffle_files(spark):
+    before = files_of_blocks(spark)
+    dealt = written(spark.range(1000).repartition(3, "id"), "dealt")
+    assert files_of_blocks(spark) <= before and spark.conf.get(session.FREE_SHUFFLES) == "false"
+    assert dealt.count() == 1000
+
+
+def test_rounds_of_word_vectors_keep_one_set_of_blocks(spark, monkeypatch):
+    paths = []
+    monkeypatch.setattr(wordblocks, "scratch_path", lambda *a, of=wordblocks.scratch_path: paths.append(of(*a)) or paths[-1])
+    texts = [(i, " ".join(random.Random(i).choices("abcdefgh", k=20))) for i in range(40)]
+    before = files_of_blocks(spark)
+    found = wordblocks.train_word_blocks(spark.createDataFrame(texts, "id long, description string"), vector_size=4, epochs=2, block_words=3)
+    assert found.count() == 8
+    kinds = [os.path.basename(p).rsplit("-", 1)[0] for p in paths]
+    assert kinds.count("word-blocks") == 1 + 2 * 3 and kinds.count("pairs") == 1
+    assert [k for k, p in zip(kinds, paths) if os.path.exists(p.removeprefix("file://"))] == ["word-blocks"]
+    assert files_of_blocks(spark) <= before + 8  # those of the count above
+
+
+def test_pairs_are_stored_once_in_few_bytes(spark):
+    texts = [(i, " ".join(f"w{int(x)}" for x in np.random.default_rng(i).zipf(1.3, 400) % 300)) for i in range(30)]
+    df = spark.createDataFrame(texts, "id long, description string")
+    parts = written(wordblocks.pieces(df, "description"), "pieces")
+    words = wordblocks.vocabulary(parts, 1)
+    counted = wordblocks.pair_counts(wordblocks.known_lists(parts, words, F.lit(1.0)), 5, 2).where(f"turn <> {wordblocks.DEGREES}").collect()
+    names = {r["place"]: r["word"] for r in words.collect()}
+    got, want = {}, {}
+    for r in counted:
+        for a, b, n in zip(*wordblocks.unpacked(r["data"])):
+            key = tuple(sorted((names[a * 2 + r["block"]], names[b * 2 + (r["block"] + r["turn"]) % 2])))
+            assert key not in got
+            got[key] = n
+    for _, text in texts:
+        t = text.split()
+        for i, d in ((i, d) for i in range(len(t)) for d in range(1, 6) if i + d < len(t)):
+            key = tuple(sorted((t[i], t[i + d])))
+            want[key] = want.get(key, 0) + 6 - d
+    assert got == want
+    assert sum(len(zlib.compress(r["data"])) for r in counted) < 4 * len(got)
+
+
 def test_rounds_do_not_grow_with_a_vocabulary_of_some_hundred_thousand_words():
     assert [wordblocks.block_count(n, 48, None) for n in (10, 5000, 78_778, 314_422, 901_737)] == [1, 2, 16, 16, 16]
     assert wordblocks.block_count(100, 48, 12) == 9
