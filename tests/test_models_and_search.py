@@ -461,6 +461,16 @@ def test_a_large_vocabulary_is_not_trained_on_the_driver(spark, monkeypatch):
     assert sorted((r["word"], len(r["vec"])) for r in got) == [(w, 4) for w in "abcd"]
 
 
+def test_word_vectors_of_a_large_vocabulary_leave_no_rounds(spark, monkeypatch):
+    monkeypatch.setattr(features, "DRIVER_VALUES", 12)
+    monkeypatch.setattr(wordblocks, "BLOCK_WORDS", 2)
+    paths = []
+    monkeypatch.setattr(wordblocks, "scratch_path", lambda *a, of=wordblocks.scratch_path: paths.append(of(*a)) or paths[-1])
+    df = spark.createDataFrame([(i, "a b c d") for i in range(6)], "id long, description string")
+    assert features.train_word_vectors(df, vector_size=4, epochs=3).count() == 4
+    assert len(paths) == 2 + 1 + 3 * 2 and sum(os.path.exists(p.removeprefix("file://")) for p in paths) == 1
+
+
 def test_both_binary_rules_share_one_model(spark, sf, monkeypatch):
     fits = []
     monkeypatch.setattr(models, "fit_multilabel", lambda *a, of=models.fit_multilabel, **k: fits.append(a[1]) or of(*a, **k))
