@@ -245,6 +245,27 @@ def test_products_with_many_columns_are_neither_sorted_nor_kept_by_name(spark, m
     assert {r["column"] for r in found.axes.collect()} == {"c0", "c1", "c2"}
 
 
+@pytest.mark.parametrize("joined", [False, True])
+def test_vectors_of_columns_are_written_for_many_rows_only(spark, monkeypatch, joined):
+    kept = []
+    monkeypatch.setattr(sketch, "written", lambda df, name, put=sketch.written: kept.append((name, df.columns)) or put(df, name))
+    monkeypatch.setattr(sketch, "SLICE_CELLS", 40)
+    monkeypatch.setattr(sketch, "JOB_NUMBERS", 200)  # some jobs a pass
+    if joined:
+        monkeypatch.setattr(sketch, "ROW_NUMBERS", 0)
+    rng = np.random.default_rng(4)
+    x = (rng.random((50, 90)) < 0.2) * rng.exponential(1, (50, 90))
+    x[:, 0], x[7] = rng.normal(size=50) * 3, 0
+    cells = spark.createDataFrame([(f"r{i}", f"c{j}", float(x[i, j])) for i, j in zip(*np.nonzero(x))], "id string, column string, value double")
+    ids = spark.createDataFrame([(f"r{i}",) for i in range(50)], "id string")
+    found = sketch.fit(cells, ids, 2, passes=6)
+    _, s, vt = np.linalg.svd(x - x.mean(axis=0), full_matrices=False)
+    assert found.variances == pytest.approx(s[:2] ** 2 / 49, rel=1e-4) and found.total == pytest.approx((s**2).sum() / 49)
+    a = np.array([r["axis"] for r in sorted(found.axes.collect(), key=lambda r: int(r["column"][1:]))])
+    assert np.abs(np.abs(a.T @ vt[:2].T) - np.eye(2)).max() < 0.01
+    assert joined or not any({"z", "axis", "y"} & set(c) for _, c in kept) and len(kept) == 2
+
+
 def test_packed_rows_of_one_partition_are_dealt_to_all_cores(spark):
     one = F.array(F.lit(1).cast("tinyint"))
     rows = spark.range(64).coalesce(1).select(array_to_vector(F.array(F.col("id").cast("double"))).alias("features"), one.alias("y"), one.alias("copies"), F.lit(-1).alias("only"))
