@@ -68,6 +68,29 @@ def test_jobs_do_not_grow_with_the_labels(spark):
     assert max(passes) <= 12
 
 
+@pytest.mark.parametrize("columns", [5, 700])
+def test_models_that_fit_a_task_take_no_job_a_pass(spark, columns, monkeypatch):
+    rng = np.random.default_rng(6)
+    x = rng.exponential(1, (150, columns)) * (rng.random((150, columns)) < (5 / columns if columns > 10 else 0.6))
+    names = ["a", "b", "never"]
+    sets = [[n for n, p in zip(names, (0.4 + 0.4 * (r[0] > 0.5), 0.1, 0)) if rng.random() < p] for r in x]
+    rows = labelled(spark, x, sets, True)
+    more = spark.createDataFrame([(1, 1, Vectors.dense(x[3] + x[4]), 1), (2, 2, Vectors.dense(x[5]), 1)], T.StructType([
+        T.StructField("id", T.LongType()), T.StructField("copy", T.LongType()), T.StructField("features", VectorUDT()), T.StructField("y", T.IntegerType())]))
+    sums, fits = [], {}
+    monkeypatch.setattr(linear, "added", lambda *a, of=linear.added: sums.append(a[2]) or of(*a))
+    for limit in (linear.HELD_BYTES, 0):
+        monkeypatch.setattr(linear, "HELD_BYTES", limit)
+        sums.clear()
+        fits[limit] = models.fit_multilabel(rows, names, "lreg", "balanced", columns, {"b": more}).models
+        assert (len(sums) == 1) == (limit > 0)
+    (held, shared) = fits.values()
+    for name in names[:2]:
+        assert held[name][0].coefficients.toArray() == pytest.approx(shared[name][0].coefficients.toArray(), abs=1e-5)
+        assert held[name][0].intercept == pytest.approx(shared[name][0].intercept, abs=1e-5)
+    assert held["never"][0].intercept == -np.inf
+
+
 def test_synthetic_rows_count_for_their_label_only(spark):
     rng = np.random.default_rng(3)
     x = rng.normal(size=(90, 3))
