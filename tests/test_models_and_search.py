@@ -364,6 +364,20 @@ def test_a_stopped_matrix_goes_on(spark, monkeypatch):
     assert len(fits) == 7  # other records, another run
 
 
+def test_ratios_share_the_neighbours_of_their_rows(spark, monkeypatch):
+    rng = random.Random(11)
+    rows = [(i, " ".join(rng.choices(["red", "green", "blue", "car", "pie"], k=8)), ["a"] if i % 4 else ["a", "b"]) for i in range(80)]
+    docs = spark.createDataFrame(rows, "id long, description string, labels array<string>")
+    runs = [experiments.Config(f"{v} {r}", vectorizer=v, balancing_ratio=r) for r in (0.6, 0.9) for v in ("count", "tf-idf")]
+    value = lambda rows: {(r["run"], r["metric"]): r["value"] for r in rows}
+    alone = [experiments.run_matrix(docs, ["a", "b"], [run], test=0.2).collect() for run in runs[2:]]
+    searches = []
+    monkeypatch.setitem(balance.SEARCHES, "exact", lambda *a, of=balance.SEARCHES["exact"], **k: searches.append(1) or of(*a, **k))
+    got = value(experiments.run_matrix(docs, ["a", "b"], runs, test=0.2).collect())
+    assert len(searches) == 2  # one label to balance, two kinds of rows
+    assert value(r for rows in alone for r in rows) == {k: v for k, v in got.items() if "0.9" in k[0]}
+
+
 # --- keywords ------------------------------------------------------------------------------------------------------
 
 
