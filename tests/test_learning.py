@@ -1,3 +1,5 @@
+import random
+
 import numpy as np
 import pytest
 from pyspark.ml.functions import array_to_vector
@@ -57,6 +59,21 @@ def test_mean_embedding_ignores_unknown_words(spark):
     assert got[1] == pytest.approx([2 / 3, 1.0]) and got[2] == [0.0, 0.0] and got[3] == [0.0, 0.0]
 
 
+@pytest.mark.parametrize("kind", ["float", "double"])
+def test_mean_embedding_of_a_large_table_shuffles_no_words(spark, monkeypatch, kind):
+    texts = [(i, " ".join(random.Random(i).choices("abcdefghij", k=i % 7))) for i in range(40)] + [(98, None), (99, "zzz")]
+    docs = spark.createDataFrame(texts, "id long, description string")
+    vec = spark.createDataFrame([(w, [k + 0.1, 1.0 / (k + 1), -k * 1.7]) for k, w in enumerate("abcdefgh")], f"word string, vec array<{kind}>")
+    want = {r["id"]: r["embedding"] for r in features.mean_embedding(docs, vec, 3).collect()}
+    monkeypatch.setattr(features, "BROADCAST_VALUES", 6)
+    monkeypatch.setattr(features, "SLICE_VALUES", 9)  # 3 words a slice
+    found = features.mean_embedding(docs, vec, 3)
+    got = {r["id"]: r["embedding"] for r in found.collect()}
+    assert len(got) == 42 and all(got[i] == pytest.approx(want[i], abs=1e-12) for i in got) and got[99] == [0.0] * 3
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(word" not in plan and "hashpartitioning(id" in plan
+
+
 def test_split_is_stratified_and_complete(spark, sf):
     from tagloom.catalog.tables import order_labels
 
