@@ -2,6 +2,7 @@
 
 import os
 import random
+import tracemalloc
 import zlib
 from itertools import combinations
 
@@ -91,6 +92,25 @@ def test_models_that_fit_a_task_take_no_job_a_pass(spark, columns, monkeypatch):
     assert held["never"][0].intercept == -np.inf
 
 
+def test_a_task_makes_one_vector_of_sums(spark, monkeypatch):
+    p, seen = 200_000, []
+    one = F.array(F.lit(1).cast("tinyint"))
+    rows = spark.createDataFrame([(Vectors.sparse(p, [1, 5], [1.0, 2.0]),)], T.StructType([T.StructField("features", VectorUDT())]))
+    batch = linear.pack(rows.select("features", one.alias("y"), one.alias("copies"), F.lit(-1).alias("only"))).toArrow().to_batches()
+
+    def measured(blocks, run, size):
+        tracemalloc.start()
+        out = run(iter(batch))
+        seen.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+        return out
+
+    monkeypatch.setattr(linear, "added", measured)
+    loss, slope, _ = linear.Fit(None, 1, 1, p, np.ones((2, 1))).evaluate(np.zeros((p + 1, 1)), np.array([0]), False)
+    assert loss == pytest.approx([np.log(2)]) and slope[[1, 5, p], 0] == pytest.approx([-0.5, -1.0, -0.5])
+    assert seen[0] < 1.2 * 8 * p
+
+
 def test_synthetic_rows_count_for_their_label_only(spark):
     rng = np.random.default_rng(3)
     x = rng.normal(size=(90, 3))
